@@ -83,7 +83,11 @@ def f32_units(tenths: Column) -> Column:
 
 def f32_mean(total: Column, count: Column) -> Column:
     """Mean in units, every step rounded to a 32-bit float."""
-    return (total.cast("float") / count.cast("float")).cast("float") * F.lit(0.1).cast("float")
+    # Division takes doubles. The factor one keeps the optimizer from merging the casts
+    # bigint to float to double into one that does not round.
+    one = F.lit(1.0).cast("float")
+    quotient = (total.cast("float") * one) / (count.cast("float") * one)
+    return quotient.cast("float") * F.lit(0.1).cast("float")
 
 
 def f32_text(value: Column) -> Column:

@@ -29,7 +29,11 @@ def run_summary(
     """Fold all files in ``source`` that are new since the last call into the output.
 
     Returns when they are done. ``checkpoint`` holds what has been read and the state.
+    ``options`` are those of ``summary_of``; values are always tenths, whose sums do not
+    depend on the order in which files arrive.
     """
+    if options.get("number", "tenths") != "tenths":
+        raise ValueError("a running summary is kept in tenths")
 
     def publish(changed: DataFrame, batch: int) -> None:
         changed.hint("rebalance").write.mode("overwrite").parquet(f"{output}/batch={batch}")
