@@ -545,20 +545,26 @@ def report_f32(spark: SparkSession, folder: str) -> DataFrame:
     return report(summary_of(_lines(spark, folder, EVENT)), render="f32")
 
 
-@_register(
-    _report_sql(
-        "select name, name || '=' || "
-        + " || '/' || ".join(_f32_sql(v) for v in ("min", "mean::float", "max"))
-        + f""" as entry from (
+def _float_report_sql(measure: Measure) -> str:
+    text = " || '/' || ".join(_f32_sql(v) for v in ("min", "mean::float", "max"))
+    return _report_sql(f"""
+        select name, name || '=' || {text} as entry from (
             select name, min(x) as min, avg(x) as mean, max(x) as max
-            from (select name, (t / 10.0::double)::float as x from {_tenths_sql(EVENT)}) group by name)"""
-    )
-)
+            from (select name, (t / 10.0::double)::float as x from {_tenths_sql(measure)}) group by name)""")
+
+
+@_register(_float_report_sql(EVENT))
 def report_float(spark: SparkSession, folder: str) -> DataFrame:
     """The report of the float path."""
     return report(summary_of(_lines(spark, folder, EVENT), number="float"), render="float")
 
 
+@_register(_float_report_sql(PRIORITY))
+def csv_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Delimited scan to the report."""
+    return run(spark, _written(spark, _lines(spark, folder, PRIORITY)), reader="csv")
+
+
 @_register(f"select name, {_MEAN_SQL} as mean_t from ({_state_sql(USER)})")
 def rounded_means(spark: SparkSession, folder: str) -> DataFrame:
     """Means rounded to whole tenths, halves away from zero."""
@@ -573,9 +579,9 @@ def rounded_means(spark: SparkSession, folder: str) -> DataFrame:
     select * from {_tenths_sql(EVENT)} union all select * from {_tenths_sql(SEGMENT)}) group by name""")
 def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
     """A running summary: some files, then a second run that finds more."""
-    source, output, checkpoint = (new_folder(spark, purpose) for purpose in ("arriving", "running", "progress"))
+    source, output = new_folder(spark, "arriving"), new_folder(spark, "running")
     write_lines(_lines(spark, folder, EVENT), f"{source}/first")
-    run_summary(spark, f"{source}/*", output, checkpoint)
+    run_summary(spark, f"{source}/*", output)
     write_lines(_lines(spark, folder, SEGMENT), f"{source}/second")
-    run_summary(spark, f"{source}/*", output, checkpoint)
+    run_summary(spark, f"{source}/*", output)
     return latest_summary(spark, output)

@@ -14,7 +14,7 @@ from measure_rollup.operators import (
     summarize_float,
 )
 from measure_rollup.operators.quality import MODES
-from measure_rollup.sources import read_lines
+from measure_rollup.sources import read_lines, read_measurements
 
 
 def summary_of(
@@ -38,14 +38,27 @@ def summary_of(
     return summarize(records) if number == "tenths" else summarize_float(records)
 
 
-def rollup(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
-    """Path to ``(name, min, mean, max, cnt)`` in name order."""
-    summary = summary_of(read_lines(spark, path), **options)
-    return by_name(summary if options.get("number") == "float" else finalize(summary))
+def rollup(spark: SparkSession, path: str | list[str], reader: str = "text", **options) -> DataFrame:
+    """Path to ``(name, min, mean, max, cnt)`` in name order.
+
+    ``reader='text'`` takes the options of :func:`summary_of`; ``reader='csv'``, the
+    delimited scan with 32-bit floats, takes ``mode`` and ``delimiter``.
+    """
+    summary, is_float = _summary(spark, path, reader, options)
+    return by_name(summary if is_float else finalize(summary))
+
+
+def run(
+    spark: SparkSession, path: str | list[str], reader: str = "text", render: str | None = None, **options
+) -> DataFrame:
+    """Path to report, with the options of :func:`rollup`."""
+    summary, is_float = _summary(spark, path, reader, options)
+    return report(summary, render or ("float" if is_float else "exact"))
 
 
-def run(spark: SparkSession, path: str | list[str], render: str | None = None, **options) -> DataFrame:
-    """Path to report."""
-    if render is None:
-        render = "float" if options.get("number") == "float" else "exact"
-    return report(summary_of(read_lines(spark, path), **options), render)
+def _summary(spark: SparkSession, path: str | list[str], reader: str, options: dict) -> tuple[DataFrame, bool]:
+    if reader == "csv":
+        return summarize_float(read_measurements(spark, path, **options), value="value"), True
+    if reader != "text":
+        raise ValueError(f"reader must be 'text' or 'csv', not {reader!r}")
+    return summary_of(read_lines(spark, path), **options), options.get("number") == "float"

@@ -2,8 +2,8 @@
 
 Each micro-batch writes the names that changed, with their new totals, to its own folder
 ``batch=N`` of the output. A batch that is run again after a failure replaces its folder,
-so the output is right whatever was lost. The current totals of a name are its row with
-the highest batch.
+so the output is right whatever was lost. What has been read, and the state, are kept in
+``_progress`` of the output: the two always belong together.
 """
 
 from __future__ import annotations
@@ -21,14 +21,13 @@ def run_summary(
     spark: SparkSession,
     source: str,
     output: str,
-    checkpoint: str,
     max_files: int | None = None,
     max_bytes: str | None = None,
     **options,
 ) -> None:
     """Fold all files in ``source`` that are new since the last call into the output.
 
-    Returns when they are done. ``checkpoint`` holds what has been read and the state.
+    Returns when they are done. ``max_files`` or ``max_bytes`` bound a micro-batch.
     ``options`` are those of ``summary_of``; values are always tenths, whose sums do not
     depend on the order in which files arrive.
     """
@@ -38,11 +37,10 @@ def run_summary(
     def publish(changed: DataFrame, batch: int) -> None:
         changed.hint("rebalance").write.mode("overwrite").parquet(f"{output}/batch={batch}")
 
-    lines = stream_lines(spark, source, max_files, max_bytes)
     query = (
-        summary_of(lines, **options)
+        summary_of(stream_lines(spark, source, max_files, max_bytes), **options)
         .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{output}/_progress")
         .trigger(availableNow=True)
         .foreachBatch(publish)
         .start()

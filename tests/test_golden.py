@@ -39,6 +39,10 @@ CASES = {
     "no_digit_before_point": (b"A;.5\nA;-.5\nA;-\nA;.\nA;0.5\n", {}, "{A=0.5/0.5/0.5}"),
     "lone_cr_in_name": (b"A\rB;1.0\n", {}, "{A\rB=1.0/1.0/1.0}"),
     "other_delimiter": (b"A|1.0\nA;2|3.0\n", {"delimiter": "|"}, "{A=1.0/1.0/1.0, A;2=3.0/3.0/3.0}"),
+    "csv": (b"A;1.0\nB;-2.55\nA;\nA;3.0\nbad\n", {"reader": "csv"}, "{A=1.0/2.0/3.0, B=-2.5/-2.5/-2.5}"),
+    "csv_empty_name": (b";5.0\nA;1.0\n", {"reader": "csv"}, "{=5.0/5.0/5.0, A=1.0/1.0/1.0}"),
+    "csv_quotes": (b'"Q";1.0\n', {"reader": "csv"}, '{"Q"=1.0/1.0/1.0}'),
+    "csv_empty_file": (b"", {"reader": "csv"}, "{}"),
     # A lead byte in front of the delimiter must not take the delimiter with it.
     "cut_character": (b"Caf\xe9;1.0\nCaf\xf0;3.0\n", {}, "{Caf�=1.0/2.0/3.0}"),
     "cut_character_last": (b"x;Caf\xe9;1.0\n", {"split": "last"}, "{x;Caf�=1.0/1.0/1.0}"),
@@ -105,7 +109,15 @@ def test_sorted_result(spark, write):
 
 
 @pytest.mark.parametrize(
-    "option", [{"mode": "skip"}, {"split": "middle"}, {"encoding": "utf-16"}, {"number": "int"}, {"delimiter": ";;"}]
+    "option",
+    [
+        {"mode": "skip"},
+        {"split": "middle"},
+        {"encoding": "utf-16"},
+        {"number": "int"},
+        {"delimiter": ";;"},
+        {"reader": "json"},
+    ],
 )
 def test_unknown_options(spark, write, option):
     with pytest.raises(ValueError):
