@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from measure_rollup.functions import decode_name, to_float, to_tenths, validate_line
 
+_ENDS = ("_head", "_tail")
 
 
 def split_line(lines: DataFrame, how: str = "first", delimiter: str = ";") -> DataFrame:
@@ -21,7 +22,7 @@ def split_line(lines: DataFrame, how: str = "first", delimiter: str = ";") -> Da
     damaged UTF-8 next to a delimiter does not hide it.
     """
     cut = _Cut(delimiter, how)
-    return cut.ends(lines).select(*lines.columns, cut.name.alias("name"), cut.rest.alias("rest"))
+    return cut.ends(lines).select("*", cut.name.alias("name"), cut.rest.alias("rest")).drop(*_ENDS)
 
 
 def parse_records(
@@ -37,16 +38,14 @@ def parse_records(
     """
     if number not in ("tenths", "float"):
         raise ValueError(f"number must be 'tenths' or 'float', not {number!r}")
-    if encoding == "strict":
-        lines = lines.withColumn("value", validate_line(F.col("value"), encoding))
     parse = to_tenths if number == "tenths" else to_float
     cut = _Cut(delimiter, split)
-    fields = cut.ends(lines)
+    fields = cut.ends(lines.withColumn("value", validate_line(F.col("value"), encoding)))
     parsed = fields.select("*", F.when(cut.has_value, parse(cut.tail)).alias("t"))
     # A name only with a value: all malformed lines then share one group, which map-side
     # aggregation folds to a row per task, and no filter has to parse the line again.
     name = F.when(F.col("t").isNotNull(), decode_name(cut.name, encoding))
-    return parsed.select(*lines.columns, name.alias("name"), "t")
+    return parsed.select("*", name.alias("name")).drop(*_ENDS)
 
 
 class _Cut:

@@ -107,4 +107,5 @@ def _aggregate(records: DataFrame, keys: list[str]) -> DataFrame:
 def _exact_sum(column: str) -> Column:
     # A sum beyond bigint stops the query, with and without ANSI mode; it never wraps.
     total = F.try_sum(column)
-    return F.when(total.isNull() & (F.count(column) > 0), F.raise_error(F.lit("sum exceeds bigint")).cast("bigint")).otherwise(total)
+    stop = F.raise_error(F.lit("sum exceeds bigint")).cast("bigint")
+    return F.when(total.isNull() & (F.count(column) > 0), stop).otherwise(total)

@@ -27,7 +27,6 @@ from measure_rollup.operators import (
     read_summaries,
     report,
     split_line,
-    summarize,
     summarize_float,
     write_entries,
     write_report,
@@ -170,7 +169,9 @@ def text_scan(spark: SparkSession, folder: str) -> DataFrame:
     return summary_of(read_lines(spark, _written(spark, _lines(spark, folder, EVENT))))
 
 
-@_register("select count(*) as n, sum(length(value))::bigint as bytes from (select c_name || ';x' as value from customer)")
+@_register(
+    "select count(*) as n, sum(length(value))::bigint as bytes from (select c_name || ';x' as value from customer)"
+)
 def line_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Each written line comes back once, whole, CRLF ends removed."""
     customer = spark.read.parquet(f"{folder}/customer.parquet")
@@ -291,15 +292,18 @@ def split_last(spark: SparkSession, folder: str) -> DataFrame:
 def _latin(spark: SparkSession, folder: str) -> DataFrame:
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     broken = "if(c_custkey % 2 = 0, X'E9', X'FF')"
-    return customer.selectExpr(
-        f"cast(concat(cast(c_mktsegment as binary), {broken}, cast(concat(';', c_custkey % 100, '.5') as binary)) as string) as value"
-    )
+    value = "cast(concat(';', c_custkey % 100, '.5') as binary)"
+    line = f"concat(cast(c_mktsegment as binary), {broken}, {value})"
+    return customer.selectExpr(f"cast({line} as string) as value")
 
 
 _LATIN_T = "cast(c_custkey % 100 * 10 + 5 as bigint) as t"
 
 
-@_register(f"select name, {_STATE_SQL} from (select c_mktsegment || chr(65533) as name, {_LATIN_T} from customer) group by name")
+@_register(
+    f"select name, {_STATE_SQL} from (select c_mktsegment || chr(65533) as name, {_LATIN_T} from customer) "
+    "group by name"
+)
 def utf8_lossy(spark: SparkSession, folder: str) -> DataFrame:
     """Damaged names that become the same text are one group."""
     return summary_of(read_lines(spark, _written(spark, _latin(spark, folder))), encoding="lossy")
@@ -341,7 +345,8 @@ def classify_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @_register(
     f"""select status, count(*) as n, sum(length(value))::bigint as chars from (
-          select value, {_STATUS_SQL} as status from (select unnest(string_split(text, chr(10))) as value from documents))
+          select value, {_STATUS_SQL} as status
+          from (select unnest(string_split(text, chr(10))) as value from documents))
         group by status"""
 )
 def classify_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -395,7 +400,10 @@ def fail_malformed(spark: SparkSession, folder: str) -> DataFrame:
 _CSV_BAD_SQL = "c_custkey % 10 in (0, 2, 3, 6)"
 
 
-@_register(f"select value, count(*) as n from (select {_DAMAGED} as value from customer where {_CSV_BAD_SQL}) group by value")
+@_register(
+    f"select value, count(*) as n from (select {_DAMAGED} as value from customer where {_CSV_BAD_SQL}) "
+    "group by value"
+)
 def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     scan = read_measurements(spark, _written(spark, _damaged(spark, folder)), mode="quarantine")
     malformed = scan.where(F.col(CORRUPT).isNotNull())

@@ -21,7 +21,8 @@ def _random_lines(seed, count=20_000):
     rng = random.Random(seed)
     pieces = [b";", b".", b"-", b"+", b" ", b"\t", b"\r", b"\x00", b"\x7f", b"\x85", b"e", b"d", b"f", b"_", b"0x"]
     pieces += [b"1", b"23", b"0", b"99", b"5.0", b"-7.3", b"12345678901", b";1.0", b"NaN", b"inf", b"A", b"na me"]
-    pieces += ["é".encode(), "٣".encode(), "😀".encode(), " ".encode(), b"\xe9", b"\xf0", b"\xff", b"\xc3", b"\x80"]
+    pieces += [c.encode() for c in ("é", "٣", "😀", "\u00a0", "\u2028")]
+    pieces += [b"\xe9", b"\xf0", b"\xff", b"\xc3", b"\x80"]
     return [b"".join(rng.choice(pieces) for _ in range(rng.randint(0, 7))) for _ in range(count)]
 
 
@@ -107,7 +108,8 @@ def test_every_short_value(spark):
 
 def test_mean_rounds_half_away_from_zero(spark):
     rng = random.Random(4)
-    pairs = [(rng.randint(-(10**k), 10**k), rng.randint(1, 10 ** rng.randint(1, 9))) for k in range(1, 19) for _ in range(300)]
+    sizes = [k for k in range(1, 19) for _ in range(300)]
+    pairs = [(rng.randint(-(10**k), 10**k), rng.randint(1, 10 ** rng.randint(1, 9))) for k in sizes]
     pairs += [(s * c // 2, c) for s in (-5, -3, -1, 1, 3, 5) for c in (2, 4, 10)] + [(2**63 - 1, 1), (-(2**63) + 1, 1)]
     frame = spark.createDataFrame(pairs, "s bigint, c bigint")
     for row in frame.select("s", "c", mean_tenths(F.col("s"), F.col("c")).cast("bigint").alias("m")).collect():

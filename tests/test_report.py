@@ -77,7 +77,8 @@ def test_empty_report(spark, tmp_path):
 
 
 def test_null_name_is_rendered_empty(spark):
-    frame = spark.createDataFrame([(None, 1.0, 1.0, 1.0, 1)], "name string, min double, mean double, max double, cnt bigint")
+    schema = "name string, min double, mean double, max double, cnt bigint"
+    frame = spark.createDataFrame([(None, 1.0, 1.0, 1.0, 1)], schema)
     assert report(frame, render="float").first().report == "{=1.0/1.0/1.0}"
 
 
@@ -88,12 +89,12 @@ def test_unknown_rendering(spark):
 
 def test_f32_arithmetic_and_text(spark):
     rng = random.Random(8)
-    pairs = [(rng.randint(-(10**k), 10**k), rng.randint(1, 10**m)) for k in range(1, 13) for m in range(1, 7) for _ in range(80)]
+    sizes = [(k, m) for k in range(1, 13) for m in range(1, 7) for _ in range(80)]
+    pairs = [(rng.randint(-(10**k), 10**k), rng.randint(1, 10**m)) for k, m in sizes]
     pairs += [(s, c) for s in range(-30, 31) for c in (1, 2, 4, 5, 8, 10, 100)] + [(0, 5)]
     frame = spark.createDataFrame(pairs, "s bigint, c bigint")
-    rows = frame.select(
-        "s", "c", f32_text(f32_mean(F.col("s"), F.col("c"))).alias("mean"), f32_text(f32_units(F.col("s"))).alias("units")
-    ).collect()
+    s, c = F.col("s"), F.col("c")
+    rows = frame.select(s, c, f32_text(f32_mean(s, c)).alias("mean"), f32_text(f32_units(s)).alias("units")).collect()
     for row in rows:
         mean = np.float32(row.s) / np.float32(row.c) * np.float32(0.1)
         assert row["mean"] == f"{float(mean):.1f}", row

@@ -16,7 +16,7 @@ from measure_rollup.operators import (
     summarize,
     write_summary,
 )
-from measure_rollup.sources import new_folder
+from measure_rollup.sources import new_folder, read_lines
 
 
 def _rows(df):
@@ -26,7 +26,8 @@ def _rows(df):
 @pytest.fixture(scope="module")
 def records(spark):
     rng = random.Random(5)
-    rows = [(f"n{min(rng.randint(0, 30), rng.randint(0, 30))}", rng.randint(-999, 999), rng.randint(0, 9)) for _ in range(5000)]
+    names = [f"n{min(rng.randint(0, 30), rng.randint(0, 30))}" for _ in range(5000)]
+    rows = [(name, rng.randint(-999, 999), rng.randint(0, 9)) for name in names]
     return spark.createDataFrame(rows, "name string, t bigint, p int")
 
 
@@ -55,7 +56,7 @@ def test_brute_force(records):
 
 def test_part_can_be_the_file(spark, write):
     paths = [write(b"A;1.0\nB;2.0\n"), write(b"A;3.0\n")]
-    lines = spark.read.text(paths).withColumn("file", F.col("_metadata.file_name"))
+    lines = read_lines(spark, paths).withColumn("file", F.col("_metadata.file_name"))
     parts = partial_summary(parse_records(lines), F.col("file"), part="file")
     assert parts.count() == 3
     assert _rows(merge_summaries(parts)) == [("A", 10, 30, 40, 2), ("B", 20, 20, 20, 1)]
