@@ -7,7 +7,6 @@ from measure_rollup.functions.numbers import (
     f32_units,
     mean_tenths,
     mean_units,
-    tenths_pattern,
     tenths_text,
     to_float,
     to_tenths,
@@ -22,7 +21,6 @@ __all__ = [
     "f32_units",
     "mean_tenths",
     "mean_units",
-    "tenths_pattern",
     "tenths_text",
     "to_float",
     "to_tenths",

@@ -42,11 +42,6 @@ def to_tenths(text: Column) -> Column:
     return F.when(shape, F.when(size <= _EXACT_DOUBLE_BYTES, short).otherwise(long))
 
 
-def tenths_pattern() -> str:
-    """What :func:`to_tenths` accepts, as a regular expression."""
-    return "(?:-[0-9]{1,16}|[0-9]{1,17})[.][0-9]"
-
-
 def to_float(text: Column) -> Column:
     """Text to 32-bit float by Spark's ``try_cast`` rules; NaN counts as unparsable."""
     return F.nullif(text.try_cast("float"), F.lit(float("nan")).cast("float"))

@@ -5,23 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from measure_rollup.functions import tenths_pattern
 from measure_rollup.operators.records import parse_records
 
 MODES = ("drop", "fail", "quarantine")
 
 
-def well_formed(split: str = "first", delimiter: str = ";") -> Column:
-    """Whether the line ``value`` is a name, a delimiter and a value in tenths.
-
-    One expression over the line alone, for filters: a filter on a parsed column would
-    be moved below the parse and repeat it.
-    """
-    mark = delimiter if delimiter.isalnum() else f"\\{delimiter}"
-    before = f"\\A[^{mark}]*" if split == "first" else ""
-    return F.col("value").rlike(f"{before}{mark}{tenths_pattern()}\\z")
-
-
 def classify(lines: DataFrame, split: str = "first", delimiter: str = ";", number: str = "tenths") -> DataFrame:
     """Add ``status``: ``ok``, ``no_delimiter``, ``empty_value`` or ``bad_value``.
 
@@ -43,34 +31,20 @@ def classify(lines: DataFrame, split: str = "first", delimiter: str = ";", numbe
 
 def quarantine(lines: DataFrame, split: str = "first", delimiter: str = ";", number: str = "tenths") -> DataFrame:
     """The malformed lines only, untouched, as ``(value, status)``."""
-    if number == "tenths":
-        judged = classify(lines.where(~well_formed(split, delimiter)), split, delimiter)
-    else:
-        judged = classify(lines, split, delimiter, number).where(F.col("status") != "ok")
-    return judged.select("value", "status")
-
-
-def apply_mode(
-    lines: DataFrame,
-    mode: str = "drop",
-    split: str = "first",
-    delimiter: str = ";",
-    number: str = "tenths",
-    encoding: str = "lossy",
-) -> DataFrame:
-    """Lines to the records that are kept.
-
-    ``drop`` and ``quarantine`` leave the malformed lines out; :func:`quarantine` gives
-    them. Under ``fail`` reading a malformed line stops the query. A summary skips
-    malformed records by itself, so it takes :func:`parse_records` without a filter.
+    return _rows_where(F.col("status") != "ok", classify(lines, split, delimiter, number).select("value", "status"))
+
+
+def apply_mode(records: DataFrame, mode: str = "drop") -> DataFrame:
+    """Parsed records without the malformed ones; under ``fail`` one of them raises.
+
+    ``quarantine`` keeps the same rows as ``drop``; :func:`quarantine` gives the rest.
+    A summary skips malformed records by itself and needs no ``drop``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if mode == "fail":
-        return fail_on_malformed(parse_records(lines, split, delimiter, number, encoding))
-    if number == "tenths" and encoding != "strict":
-        return parse_records(lines.where(well_formed(split, delimiter)), split, delimiter, number, encoding)
-    return parse_records(lines, split, delimiter, number, encoding).where(F.col("t").isNotNull())
+        return fail_on_malformed(records)
+    return _rows_where(F.col("t").isNotNull(), records)
 
 
 def fail_on_malformed(records: DataFrame) -> DataFrame:
@@ -78,3 +52,9 @@ def fail_on_malformed(records: DataFrame) -> DataFrame:
     message = F.concat(F.lit("malformed record: "), F.make_valid_utf8("value"))
     stop = F.raise_error(message).cast(records.schema["t"].dataType)
     return records.withColumn("t", F.when(F.col("t").isNotNull(), F.col("t")).otherwise(stop))
+
+
+def _rows_where(condition: Column, df: DataFrame) -> DataFrame:
+    # A filter would be moved below the projections that parse the line and evaluate them
+    # a second time. A generator that gives one row or none stays where it is.
+    return df.select(F.inline(F.when(condition, F.array(F.struct("*")))))

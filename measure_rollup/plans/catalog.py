@@ -375,7 +375,7 @@ def drop_malformed(spark: SparkSession, folder: str) -> DataFrame:
 @_register(f"select name, t, count(*) as n from {_GOOD_SQL} group by name, t")
 def kept_records(spark: SparkSession, folder: str) -> DataFrame:
     """The well-formed lines as rows."""
-    return apply_mode(_damaged(spark, folder), "drop").groupBy("name", "t").agg(F.count("*").alias("n"))
+    return apply_mode(parse_records(_damaged(spark, folder)), "drop").groupBy("name", "t").agg(F.count("*").alias("n"))
 
 
 @_register(

@@ -64,7 +64,7 @@ def test_kept_and_quarantined_make_up_the_input(spark):
     lines = _lines(spark, raw)
     for how in ("first", "last"):
         for number in ("tenths", "float"):
-            kept = apply_mode(lines, "drop", how, number=number).select(F.col("value").cast("binary").alias("v"))
+            kept = apply_mode(parse_records(lines, how, number=number)).select(F.col("value").cast("binary").alias("v"))
             out = quarantine(lines, how, number=number).select(F.col("value").cast("binary").alias("v"), "status")
             rows = out.collect()
             assert all(r.status != "ok" for r in rows)

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from measure_rollup import rollup, summary_of
+from measure_rollup.operators import apply_mode, parse_records, quarantine
 from measure_rollup.plans import catalog
 from measure_rollup.sources import read_lines
 
@@ -38,6 +39,15 @@ def test_no_filter_below_the_aggregate(spark, path, encoding, split):
     assert plan.index("Filter (") < plan.index("HashAggregate")
 
 
+def test_rows_are_left_out_without_a_second_parse(spark, path):
+    lines = read_lines(spark, path)
+    for df in (quarantine(lines), apply_mode(parse_records(lines)), quarantine(lines, number="float")):
+        plan = _plan(df)
+        assert plan.count("substring_index") <= 3 and "Exchange" not in plan
+        for condition in re.findall(r"Filter (.*)", plan):
+            assert "substring_index" not in condition and "as double" not in condition
+
+
 def test_sorted_result_adds_one_range_exchange(spark, path):
     plan = _plan(rollup(spark, path))
     assert len(re.findall(r"Exchange ", plan)) == 2 and "rangepartitioning(name" in plan
