@@ -27,9 +27,10 @@ def _random_lines(seed, count=20_000):
 
 
 def _tenths(text):
-    if re.fullmatch(rb"-?[0-9]+\.[0-9]", text) and len(text) <= 19:
-        return int(text.replace(b".", b""))
-    return None
+    if not re.fullmatch(rb"-?[0-9]+\.[0-9]", text):
+        return None
+    tenths = int(text.replace(b".", b""))
+    return tenths if -(2**63) <= tenths < 2**63 else None
 
 
 def _expected(line, how):
@@ -91,7 +92,8 @@ def test_tenths_limits(spark):
         "0.0": 0, "-0.0": 0, "00.1": 1, "-99.9": -999, "99999999999999999.9": 999999999999999999,
         "123456789012.3": 1234567890123, "1234567890123.4": 12345678901234,
         "12345678901234.5": 123456789012345, "90071992547409.9": 900719925474099,
-        "-9999999999999999.9": -99999999999999999, "100000000000000000.0": None, "-10000000000000000.0": None,
+        "922337203685477580.7": 2**63 - 1, "922337203685477580.8": None, "-922337203685477580.8": -(2**63),
+        "-922337203685477580.9": None, "0000000000000000000000007.5": 75, "-000000000000000000000.1": -1,
         "5.0\n": None, "5.0\r": None, "5.0\u0085": None, "5.": None, "": None, "-": None, ".": None, "5.f": None,
         "5. ": None, "1e1.0": None, "0x1.8": None, "\x7f5.0": None, "1,000.0": None,
     }

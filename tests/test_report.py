@@ -76,6 +76,15 @@ def test_empty_report(spark, tmp_path):
     assert [r.value for r in read_lines(spark, str(tmp_path / "empty")).collect()] == ["{}"]
 
 
+def test_extreme_values(spark):
+    low, high = -(2**63), 2**63 - 1
+    frame = spark.createDataFrame([("a", low, high, low, 1), ("b", low, high, high, 2)], _summary(spark, ["x"]).schema)
+    assert [r.entry for r in entries(frame).collect()] == [
+        "a=-922337203685477580.8/-922337203685477580.8/922337203685477580.7",
+        "b=-922337203685477580.8/461168601842738790.4/922337203685477580.7",
+    ]
+
+
 def test_null_name_is_rendered_empty(spark):
     schema = "name string, min double, mean double, max double, cnt bigint"
     frame = spark.createDataFrame([(None, 1.0, 1.0, 1.0, 1)], schema)
