@@ -9,8 +9,8 @@ from measure_rollup.functions import f32_mean, f32_text, f32_units, mean_tenths,
 from measure_rollup.operators.ordering import by_name, numbered
 from measure_rollup.sources.shared import settle
 
-# The number of names whose entries one task joins to a line.
-NAMES_PER_PART = 100_000
+# Up to this many entries are joined to a line, which one task does.
+LINE_NAMES = 100_000
 
 
 def entries(summary: DataFrame, render: str = "exact") -> DataFrame:
@@ -35,38 +35,31 @@ def entries(summary: DataFrame, render: str = "exact") -> DataFrame:
     return summary.select(name.alias("name"), F.concat(name, F.lit("="), low, slash, mean, slash, high).alias("entry"))
 
 
-def report(summary: DataFrame, render: str = "exact", names_per_part: int = NAMES_PER_PART) -> DataFrame:
+def report(summary: DataFrame, render: str = "exact", line_names: int = LINE_NAMES) -> DataFrame:
     """The report as ``(part, report)``.
 
-    Up to ``names_per_part`` names it is one row. Beyond that it is one row per so many
-    names, and the texts in the order of ``part`` make up the line, so that no task ever
-    joins an unbounded number of entries. The summary is computed here, once.
+    Up to ``line_names`` names it is one row. Beyond that it is one row per name, and the
+    texts in the order of ``part`` make up the line, so that no task ever joins an
+    unbounded number of entries. The summary is computed here, once.
     """
     rows = settle(entries(summary, render))
-    if rows.count() <= names_per_part:
-        line = F.coalesce(_joined(), F.lit(""))
-        return rows.agg(F.concat(F.lit("{"), line, F.lit("}")).alias("report")).select(
-            F.lit(0).cast("bigint").alias("part"), "report"
-        )
-    part = F.floor((F.col("pos") - 1) / names_per_part).alias("part")
-    joined = numbered(rows).groupBy(part).agg(
-        _joined().alias("line"), F.max("pos").alias("last"), F.max("total").alias("total")
-    )
-    opening = F.when(F.col("part") == 0, F.lit("{")).otherwise(F.lit(", "))
-    closing = F.when(F.col("last") == F.col("total"), F.lit("}")).otherwise(F.lit(""))
-    return joined.select("part", F.concat(opening, F.col("line"), closing).alias("report"))
-
-
-def write_report(summary: DataFrame, path: str, render: str = "exact", names_per_part: int = NAMES_PER_PART) -> None:
+    if rows.count() <= line_names:
+        line = F.coalesce(F.expr("listagg(entry, ', ') within group (order by name)"), F.lit(""))
+        whole = rows.agg(F.concat(F.lit("{"), line, F.lit("}")).alias("report"))
+        return whole.select(F.lit(0).cast("bigint").alias("part"), "report")
+    position = F.col("pos")
+    opening = F.when(position == 1, F.lit("{")).otherwise(F.lit(", "))
+    closing = F.when(position == F.col("total"), F.lit("}")).otherwise(F.lit(""))
+    text = F.concat(opening, F.col("entry"), closing)
+    return numbered(rows).select((position - 1).alias("part"), text.alias("report"))
+
+
+def write_report(summary: DataFrame, path: str, render: str = "exact", line_names: int = LINE_NAMES) -> None:
     """Write the report as text: its parts, one per line, in order over the files."""
-    parts = report(summary, render, names_per_part)
+    parts = report(summary, render, line_names)
     parts.orderBy("part").select("report").write.option("lineSep", "\n").text(path)
 
 
 def write_entries(summary: DataFrame, path: str, render: str = "exact") -> None:
     """Write one entry per line, in name order over the files, for any number of names."""
     by_name(entries(summary, render)).select("entry").write.option("lineSep", "\n").text(path)
-
-
-def _joined():
-    return F.expr("listagg(entry, ', ') within group (order by name)")

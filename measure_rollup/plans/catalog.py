@@ -507,15 +507,14 @@ def report_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_register(
-    f"""select (pos - 1) // 100 as part,
-               (case when min(pos) = 1 then '{{' else ', ' end) || string_agg(entry, ', ' order by name)
-               || (case when max(pos) = max(total) then '}}' else '' end) as report
-        from (select *, row_number() over (order by name) as pos, count(*) over () as total from ({_entries_sql(USER)}))
-        group by (pos - 1) // 100"""
+    f"""select pos - 1 as part, (case when pos = 1 then '{{' else ', ' end) || entry
+               || (case when pos = total then '}}' else '' end) as report
+        from (select entry, row_number() over (order by name) as pos, count(*) over () as total
+              from ({_entries_sql(PART)}))"""
 )
 def report_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of many names, in parts of 100 names."""
-    return report(summary_of(_lines(spark, folder, USER)), names_per_part=100)
+    """The report in the form it takes for more names than one task should join."""
+    return report(summary_of(_lines(spark, folder, PART)), line_names=100)
 
 
 @_register(f"select report as value from ({_report_sql(_entries_sql(PRIORITY))})")
