@@ -28,7 +28,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--number", choices=["tenths", "float"])
     parser.add_argument("--delimiter")
     parser.add_argument("--render", choices=["exact", "f32", "float"])
-    given = {k: v for k, v in vars(parser.parse_args(arguments)).items() if v is not None}
+    parsed = parser.parse_args(arguments)
+    if parsed.quarantine and parsed.reader != "text":
+        parser.error("--quarantine needs the text reader")
+    given = {k: v for k, v in vars(parsed).items() if v is not None}
     paths, out, malformed = given.pop("path"), given.pop("out", None), given.pop("quarantine", None)
 
     spark = SparkSession.builder.appName("measure_rollup").getOrCreate()

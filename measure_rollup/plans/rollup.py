@@ -14,7 +14,7 @@ from measure_rollup.operators import (
     summarize_float,
 )
 from measure_rollup.operators.quality import MODES
-from measure_rollup.sources import read_lines, read_measurements
+from measure_rollup.sources import read_lines, read_measurements, well_formed_rows
 
 
 def summary_of(
@@ -42,7 +42,8 @@ def rollup(spark: SparkSession, path: str | list[str], reader: str = "text", **o
     """Path to ``(name, min, mean, max, cnt)`` in name order.
 
     ``reader='text'`` takes the options of :func:`summary_of`; ``reader='csv'``, the
-    delimited scan with 32-bit floats, takes ``mode`` and ``delimiter``.
+    delimited scan with 32-bit floats, takes ``mode`` and ``delimiter``; its malformed
+    records are those of ``read_measurements(spark, path, "quarantine")``.
     """
     summary, is_float = _summary(spark, path, reader, options)
     return by_name(summary if is_float else finalize(summary))
@@ -58,7 +59,9 @@ def run(
 
 def _summary(spark: SparkSession, path: str | list[str], reader: str, options: dict) -> tuple[DataFrame, bool]:
     if reader == "csv":
-        return summarize_float(read_measurements(spark, path, **options), value="value"), True
+        scan = read_measurements(spark, path, **options)
+        kept = well_formed_rows(scan) if options.get("mode") == "quarantine" else scan
+        return summarize_float(kept, value="value"), True
     if reader != "text":
         raise ValueError(f"reader must be 'text' or 'csv', not {reader!r}")
     return summary_of(read_lines(spark, path), **options), options.get("number") == "float"

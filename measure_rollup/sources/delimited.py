@@ -21,7 +21,7 @@ def read_measurements(
     """Scan to ``(name string, value <value_type>)``.
 
     Quotes are ordinary characters and invalid UTF-8 is replaced. An empty name or
-    value is null. With ``mode='quarantine'`` a third column, ``malformed``, holds the
+    value is null, and so is NaN. With ``mode='quarantine'`` a third column, ``malformed``, holds the
     text of each record that does not fit the schema and is null otherwise.
     """
     if mode not in _READ_MODES:
@@ -35,6 +35,8 @@ def read_measurements(
         schema += f", {CORRUPT} string"
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     scan = reader.schema(schema).csv(path)
+    if value_type in ("float", "double"):
+        scan = scan.withColumn("value", F.nullif("value", F.lit(float("nan")).cast(value_type)))
     if mode == "quarantine":
         # Naming the value keeps the reader parsing it, whatever columns are used later.
         # A number that is never parsed would never count as malformed.

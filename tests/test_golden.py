@@ -40,6 +40,8 @@ CASES = {
     "lone_cr_in_name": (b"A\rB;1.0\n", {}, "{A\rB=1.0/1.0/1.0}"),
     "other_delimiter": (b"A|1.0\nA;2|3.0\n", {"delimiter": "|"}, "{A=1.0/1.0/1.0, A;2=3.0/3.0/3.0}"),
     "csv": (b"A;1.0\nB;-2.55\nA;\nA;3.0\nbad\n", {"reader": "csv"}, "{A=1.0/2.0/3.0, B=-2.5/-2.5/-2.5}"),
+    "csv_nan": (b"A;NaN\nA;1.0\nB;NaN\n", {"reader": "csv"}, "{A=1.0/1.0/1.0}"),
+    "csv_quarantine": (b"A;1.0\nA;9.0;x\nA;x\nB\n", {"reader": "csv", "mode": "quarantine"}, "{A=1.0/1.0/1.0}"),
     "csv_empty_name": (b";5.0\nA;1.0\n", {"reader": "csv"}, "{=5.0/5.0/5.0, A=1.0/1.0/1.0}"),
     "csv_quotes": (b'"Q";1.0\n', {"reader": "csv"}, '{"Q"=1.0/1.0/1.0}'),
     "csv_empty_file": (b"", {"reader": "csv"}, "{}"),

@@ -15,6 +15,8 @@ def test_options(spark, write, capsys):
     assert capsys.readouterr().out == "{A|B=1.0/1.0/1.0}\n"
     main([write(b"A;1.25\nA;2\n"), "--reader", "csv"])
     assert capsys.readouterr().out == "{A=1.2/1.6/2.0}\n"
+    with pytest.raises(SystemExit):
+        main([write(b"A;1.25\n"), "--reader", "csv", "--quarantine", "x"])
     with pytest.raises(Exception, match="malformed record"):
         main([write(b"bad\n"), "--mode", "fail"])
 
