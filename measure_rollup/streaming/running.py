@@ -35,7 +35,7 @@ def run_summary(
         raise ValueError("a running summary is kept in tenths")
 
     def publish(changed: DataFrame, batch: int) -> None:
-        changed.hint("rebalance").write.mode("overwrite").parquet(f"{output}/batch={batch}")
+        changed.write.mode("overwrite").parquet(f"{output}/batch={batch}")
 
     query = (
         summary_of(stream_lines(spark, source, max_files, max_bytes), **options)

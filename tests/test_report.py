@@ -1,6 +1,7 @@
 """Order, number text and the report in one or many parts."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -125,3 +126,15 @@ def test_report_of_written_lines(spark, names):
     assert report(summary_of(read_lines(spark, path))).first().report == (
         "{" + ", ".join(f"{n}=1.5/1.5/1.5" for n in usable) + "}"
     )
+
+
+@pytest.mark.parametrize("line_names", [100, 1], ids=["one_row", "row_per_name"])
+def test_input_is_not_read_again(spark, write, line_names):
+    """Rendering works on stored rows: it does not miss the input."""
+    path = write(b"A;1.0\nB;2.0\nA;3.0\n")
+    parts = report(summary_of(read_lines(spark, path)), line_names=line_names)
+    positions = numbered(summary_of(read_lines(spark, path)))
+    os.unlink(path)
+    text = "".join(r.report for r in parts.orderBy("part").collect())
+    assert text == "{A=1.0/2.0/3.0, B=2.0/2.0/2.0}"
+    assert sorted((r.pos, r.name) for r in positions.collect()) == [(1, "A"), (2, "B")]
