@@ -52,9 +52,9 @@ class Query(NamedTuple):
 QUERIES: dict[str, Query] = {}
 
 
-def _register(sql: str | None = None):
+def _register(sql: str | None = None, name: str | None = None):
     def keep(function):
-        QUERIES[function.__name__] = Query(function, sql)
+        QUERIES[name or function.__name__] = Query(function, sql)
         return function
 
     return keep
@@ -462,7 +462,7 @@ def partial_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return partial_summary(records, F.col("shard"))
 
 
-@_register(_result_sql(SEGMENT))
+@_register(_result_sql(SEGMENT), "merge_summaries")
 def merged_summaries(spark: SparkSession, folder: str) -> DataFrame:
     """Summaries of parts, merged and finalised, equal the direct result."""
     records = parse_records(_lines(spark, folder, SEGMENT, "c_custkey % 7 as shard"))

@@ -79,3 +79,12 @@ def test_options_are_passed_on(spark, folders):
     assert _rows(latest_summary(spark, output)) == [("A;B", 10, 10, 10, 1)]
     with pytest.raises(ValueError):
         run_summary(spark, str(source), output, number="float")
+
+
+def test_no_files_yet(spark, folders):
+    source, output = folders
+    run_summary(spark, str(source), output)
+    assert latest_summary(spark, output).collect() == []
+    (source / "1.txt").write_text("A;1.0\n")
+    run_summary(spark, str(source), output)
+    assert _rows(latest_summary(spark, output)) == [("A", 10, 10, 10, 1)]
