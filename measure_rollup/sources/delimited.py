@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 CORRUPT = "malformed"
 
-# The reader's own names for the three ways of treating a malformed record.
-_READ_MODES = {"drop": "DROPMALFORMED", "fail": "FAILFAST", "quarantine": "PERMISSIVE"}
+MODES = ("drop", "fail", "quarantine")
 
 
 def read_measurements(
@@ -21,30 +20,30 @@ def read_measurements(
     """Scan to ``(name string, value <value_type>)``.
 
     Quotes are ordinary characters and invalid UTF-8 is replaced. An empty name or
-    value is null, and so is NaN. With ``mode='quarantine'`` a third column, ``malformed``, holds the
-    text of each record that does not fit the schema and is null otherwise.
+    value is null, and so is NaN. With ``mode='quarantine'`` a third column,
+    ``malformed``, holds the text of each record that does not fit the schema and is null
+    otherwise; ``drop`` leaves these records out, ``fail`` stops at the first one read.
     """
-    if mode not in _READ_MODES:
-        raise ValueError(f"mode must be one of {tuple(_READ_MODES)}, not {mode!r}")
-    schema = f"name string, value {value_type}"
-    reader = spark.read.options(sep=delimiter, header=False, quote="", mode=_READ_MODES[mode])
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     # Both fields of a record are split off even if one is used, so that a record with
     # too few or too many is malformed in every query.
-    reader = reader.option("columnPruning", False)
-    if mode == "quarantine":
-        schema += f", {CORRUPT} string"
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    scan = reader.schema(schema).csv(path)
+    reader = spark.read.options(sep=delimiter, header=False, quote="", columnPruning=False)
+    schema = f"name string, value {value_type}"
+    value = F.col("value")
     if value_type in ("float", "double"):
-        scan = scan.withColumn("value", F.nullif("value", F.lit(float("nan")).cast(value_type)))
-    if mode == "quarantine":
-        # Naming the value keeps the reader parsing it, whatever columns are used later.
-        # A number that is never parsed would never count as malformed.
-        bad = F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), F.col(CORRUPT))
-        scan = scan.withColumn(CORRUPT, bad)
-    return scan
+        value = F.nullif(value, F.lit(float("nan")).cast(value_type))
+    if mode == "fail":
+        return reader.option("mode", "FAILFAST").schema(schema).csv(path).select("name", value.alias("value"))
+    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    # Naming the value keeps the reader parsing it, whatever columns are used later. A
+    # number that is never parsed would never count as malformed.
+    bad = F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), F.col(CORRUPT))
+    scan = reader.schema(f"{schema}, {CORRUPT} string").csv(path)
+    scan = scan.select("name", value.alias("value"), bad.alias(CORRUPT))
+    return well_formed_rows(scan) if mode == "drop" else scan
 
 
 def well_formed_rows(scan: DataFrame) -> DataFrame:
-    """The kept rows of a ``mode='quarantine'`` scan."""
+    """The kept records of a ``mode='quarantine'`` scan."""
     return scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -75,6 +75,9 @@ def test_csv_modes(spark, write):
     path = write(b'A;1.0\nnosemi\nA;x\nA;\n"Q";2.5\nA;1.0;2\n\n;4.0\nB\\;5.0\n')
     dropped = [tuple(r) for r in read_measurements(spark, path, "drop").collect()]
     assert dropped == [("A", 1.0), ("A", None), ('"Q"', 2.5), (None, 4.0), ("B\\", 5.0)]
+    assert read_measurements(spark, path).count() == 5
+    assert len(read_measurements(spark, path).select("name").collect()) == 5
+    assert len(read_measurements(spark, path).select("value").collect()) == 5
     scan = read_measurements(spark, path, "quarantine")
     assert [tuple(r) for r in well_formed_rows(scan).collect()] == dropped
     malformed = scan.where(F.col(CORRUPT).isNotNull())
