@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from typing import NamedTuple
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from measure_rollup.llm.embedding_dedup import near_duplicates
 from measure_rollup.llm.exact_dedup import exact_groups
+from measure_rollup.llm.language_id import language_of
 from measure_rollup.llm.packing import pack_documents
+from measure_rollup.llm.quality import quality_of
+from measure_rollup.llm.shipping import ship
 from measure_rollup.llm.token_counts import count_tokens
+from measure_rollup.llm.toxicity import toxicity_of
 from measure_rollup.sources import new_folder
 
 
@@ -24,8 +30,13 @@ QUERIES: dict[str, Query] = {}
 
 def _register(sql: str | None = None):
     def keep(function):
-        QUERIES[function.__name__] = Query(function, sql)
-        return function
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = Query(run, sql)
+        return run
 
     return keep
 
@@ -34,6 +45,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels that are not held out."""
+    return toxicity_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register()
+def op3_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of the same label at a cosine of 0.93 or more."""
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 EXACT_GROUPS_SQL = """
 with keyed as (
     select doc_id, length(coalesce(text, '')) as points,
@@ -65,6 +88,18 @@ def op5_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+@_register()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    return language_of(_table(spark, sf_dir, "documents"))
+
+
+@_register()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels that are not held out."""
+    return quality_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_register()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents, through a cache that this run starts empty."""
