@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from measure_rollup.llm.embedding_dedup import near_duplicates
 from measure_rollup.llm.exact_dedup import exact_groups
 from measure_rollup.llm.language_id import language_of
+from measure_rollup.llm.near_dedup import near_groups
 from measure_rollup.llm.packing import pack_documents
 from measure_rollup.llm.quality import quality_of
 from measure_rollup.llm.shipping import ship
@@ -45,6 +46,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register()
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose words have an edit similarity of 0.8 or more."""
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
 @_register()
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels that are not held out."""
