@@ -205,7 +205,7 @@ def train(
     """Adam on the mean log likelihood of the lines, each document counting the same."""
     good = float(labels.mean()) if len(labels) else 0.5
     base = float(np.log((good + 1e-6) / (1 - good + 1e-6)))
-    if not 0 < good < 1:
+    if not len(labels) or not 0 < good < 1:
         return Field(np.zeros(3 * OWN), 0.0, 0.0, base)
     inputs = with_neighbours(features, per_text)
     rng = np.random.default_rng(0)

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from measure_rollup.llm.embedding_dedup import near_duplicates
 from measure_rollup.llm.exact_dedup import exact_groups
 from measure_rollup.llm.language_id import language_of
+from measure_rollup.llm.mixing import MARGINS, POWERS, ROUNDS, mixed
 from measure_rollup.llm.near_dedup import near_groups
 from measure_rollup.llm.packing import pack_documents
 from measure_rollup.llm.quality import quality_of
 from measure_rollup.llm.shipping import ship
 from measure_rollup.llm.token_counts import count_tokens
 from measure_rollup.llm.toxicity import toxicity_of
+from measure_rollup.llm.warc import derivatives, responses
 from measure_rollup.sources import new_folder
 
 
@@ -115,3 +117,75 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("piece_bpe_32k.model"),
         new_folder(spark, "token-counts"),
     )
+
+
+def _mixing_sql() -> str:
+    """The rounds of fitting, written out. Sums of doubles may differ in the last bits; results are rounded."""
+    keys = ", ".join(f"_{name}" for name in MARGINS)
+    parts = [
+        """
+described as materialized (
+    select doc_id, source, lang,
+        case when contains(coalesce(text, ''), ' | ') then 'table'
+            when contains(coalesce(text, ''), 'icense') then 'license'
+            when contains(coalesce(text, ''), '@') then 'contact'
+            else 'prose' end as topic,
+        len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) as n_tokens,
+        coalesce('=' || source, 'null') as _source,
+        coalesce('=' || lang, 'null') as _lang,
+        '=' || topic as _topic
+    from documents
+)""",
+        f"""
+cells as materialized (
+    select {keys}, sum(n_tokens)::bigint as tokens from described group by all
+)""",
+    ]
+    for name in MARGINS:
+        parts.append(f"""
+target_{name} as materialized (
+    select _{name}, pow(tokens / sum(tokens) over (), {POWERS[name]})
+        / sum(pow(tokens / total, {POWERS[name]})) over () as target
+    from (
+        select _{name}, sum(tokens) as tokens, (select sum(tokens) from cells) as total
+        from cells group by all having sum(tokens) > 0
+    )
+)""")
+    parts.append(f"""
+raked_0 as materialized (
+    select {keys}, tokens, tokens::double as weight from cells where tokens > 0
+)""")
+    for step in range(ROUNDS * len(MARGINS)):
+        column = f"_{MARGINS[step % len(MARGINS)]}"
+        parts.append(f"""
+raked_{step + 1} as materialized (
+    select {keys}, tokens, weight * case when held > 0 then target / held else 0 end as weight
+    from (select *, sum(weight) over (partition by {column}) as held from raked_{step})
+    join target{column} using ({column})
+)""")
+    parts.append(f"""
+factors as materialized (
+    select {keys}, round(weight / (tokens / sum(tokens) over ()), 9) as factor
+    from raked_{ROUNDS * len(MARGINS)}
+)""")
+    return f"""with {",".join(parts)}
+select doc_id, source, lang, topic, n_tokens, coalesce(factor, 1) as factor, probability,
+    ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 8))::bigint / 4294967296 < probability as kept
+from (
+    select described.*, factor,
+        coalesce(round(least(1, coalesce(factor, 1) / (select max(factor) from factors)), 9), 1) as probability
+    from described left join factors using ({keys})
+)
+"""
+
+
+@_register(_mixing_sql())
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' factors, probabilities and whether they are sampled."""
+    return mixed(_table(spark, sf_dir, "documents"))
+
+
+@_register()
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of all pages."""
+    return derivatives(responses(_table(spark, sf_dir, "pages")))
