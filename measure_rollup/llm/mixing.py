@@ -13,7 +13,7 @@ Targets: of each margin either given shares by value, or the observed shares to
 and normalised (1 keeps them, 0 makes them equal). Values without a given share get none.
 
 Raking works on the table of cells with joins and sums, so the number of sources is not
-bounded; each round is written to the checkpoint folder. Topics are rules on the text,
+bounded; each step is written to the checkpoint folder. Topics are rules on the text,
 see ``topic``.
 
 Defined cases: null sources, languages and topics are values of their own; null text is
@@ -34,7 +34,7 @@ from measure_rollup.sources import new_folder
 from measure_rollup.sources.shared import settle
 
 MARGINS = ("source", "lang", "topic")
-POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+POWERS = {"source": 0.7, "lang": 0.85, "topic": 0.95}
 ROUNDS = 6
 DIGITS = 9  # of factors and probabilities
 
@@ -94,23 +94,25 @@ def targets(cells: DataFrame, name: str, wanted: Mapping[str, float] | float) ->
 def rake(
     cells: DataFrame, wanted: Mapping[str, Mapping[str, float] | float] = POWERS, rounds: int = ROUNDS
 ) -> DataFrame:
-    """``cells`` with their factor: the raked weight over the observed one."""
-    aims = {name: settle(targets(cells, name, wanted[name])) for name in MARGINS}
-    raked = settle(cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
-    for _ in range(rounds):
-        for name in MARGINS:
-            column = f"_{name}"
-            held = raked.groupBy(column).agg(F.sum("weight").alias("held"))
-            step = held.join(aims[name], column).select(
-                column, F.when(F.col("held") > 0, F.col("target") / F.col("held")).otherwise(0.0).alias("step")
-            )
-            raked = raked.join(step, column).withColumn("weight", F.col("weight") * F.col("step")).drop("step")
-        raked = settle(raked.select(cells.columns + ["weight"]))
+    """``cells`` with their factor: the raked weight over the observed one.
+
+    A cell carries its targets, so a step is one sum over a margin, which is combined before
+    the shuffle, and one join back.
+    """
+    aimed = cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
+    for name in MARGINS:
+        aim = targets(cells, name, wanted[name]).withColumnRenamed("target", f"{name}_target")
+        aimed = aimed.join(aim, f"_{name}")
+    raked = settle(aimed)
+    for step in range(rounds * len(MARGINS)):
+        name = MARGINS[step % len(MARGINS)]
+        held = raked.groupBy(f"_{name}").agg(F.sum("weight").alias("held"))
+        scaled = F.when(F.col("held") > 0, F.col("weight") * F.col(f"{name}_target") / F.col("held"))
+        raked = raked.join(held, f"_{name}").withColumn("weight", F.coalesce(scaled, F.lit(0.0)))
+        raked = settle(raked.select(aimed.columns))
     total = raked.agg(F.sum("tokens").alias("total"))
-    factors = raked.join(F.broadcast(total)).withColumn(
-        "factor", F.round(F.col("weight") / (F.col("tokens") / F.col("total")), DIGITS)
-    )
-    return factors.drop("weight", "total")
+    factor = F.round(F.col("weight") / (F.col("tokens") / F.col("total")), DIGITS)
+    return raked.join(F.broadcast(total)).select(*cells.columns, factor.alias("factor"))
 
 
 def _calibrated(docs: DataFrame, wanted, rounds: int) -> tuple[DataFrame, DataFrame]:

@@ -159,7 +159,7 @@ raked_0 as materialized (
         column = f"_{MARGINS[step % len(MARGINS)]}"
         parts.append(f"""
 raked_{step + 1} as materialized (
-    select {keys}, tokens, weight * case when held > 0 then target / held else 0 end as weight
+    select {keys}, tokens, case when held > 0 then weight * target / held else 0 end as weight
     from (select *, sum(weight) over (partition by {column}) as held from raked_{step})
     join target{column} using ({column})
 )""")
