@@ -10,9 +10,11 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from measure_rollup.operators import quarantine
 from measure_rollup.plans import run
+from measure_rollup.plans.rollup import check_options
 from measure_rollup.sources import read_lines
 
 
@@ -32,6 +34,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if parsed.quarantine and parsed.reader != "text":
         parser.error("--quarantine needs the text reader")
     given = {k: v for k, v in vars(parsed).items() if v is not None}
+    options = {k: v for k, v in given.items() if k in ("split", "mode", "encoding", "number", "delimiter")}
+    try:
+        check_options(parsed.reader, parsed.render, options)
+    except ValueError as error:
+        parser.error(str(error))
     paths, out, malformed = given.pop("path"), given.pop("out", None), given.pop("quarantine", None)
 
     spark = SparkSession.builder.appName("measure_rollup").getOrCreate()
@@ -44,7 +51,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         print()
     if malformed:
         parsing = {k: v for k, v in given.items() if k in ("split", "delimiter", "number")}
-        quarantine(read_lines(spark, paths), **parsing).write.partitionBy("status").text(malformed)
+        # malformed lines are gathered by status, so that not every scan task writes a file of each
+        lines = quarantine(read_lines(spark, paths), **parsing).hint("rebalance", F.col("status"))
+        lines.write.partitionBy("status").text(malformed)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Column expressions: number parsing, number text and text encoding."""
 
-from measure_rollup.functions.encoding import POLICIES, decode_name, validate_line
+from measure_rollup.functions.encoding import POLICIES, decode_name, valid_lines
 from measure_rollup.functions.numbers import (
     f32_mean,
     f32_text,
@@ -25,5 +25,5 @@ __all__ = [
     "to_float",
     "to_tenths",
     "units",
-    "validate_line",
+    "valid_lines",
 ]

@@ -10,16 +10,23 @@ chosen after the scan:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POLICIES = ("lossy", "strict", "bytes")
 
 
-def validate_line(line: Column, policy: str) -> Column:
-    """The line to be split; under ``strict`` invalid UTF-8 raises."""
+def valid_lines(lines: DataFrame, policy: str) -> DataFrame:
+    """The lines to be split; under ``strict`` one with invalid UTF-8 in ``value`` raises.
+
+    The check is a generator, so it is made whatever columns are used later.
+    """
     _check(policy)
-    return F.validate_utf8(line) if policy == "strict" else line
+    if policy != "strict":
+        return lines
+    checked = F.struct(*(F.validate_utf8(c).alias(c) if c == "value" else F.col(c) for c in lines.columns))
+    stop = F.when(F.is_valid_utf8("value") | F.col("value").isNull(), F.array(F.struct("*")))
+    return lines.select(F.inline(stop.otherwise(F.array(checked))))
 
 
 def decode_name(name: Column, policy: str) -> Column:

@@ -3,7 +3,13 @@
 from measure_rollup.operators.ordering import by_name, numbered
 from measure_rollup.operators.quality import apply_mode, classify, fail_on_malformed, quarantine
 from measure_rollup.operators.records import parse_records, split_line
-from measure_rollup.operators.report import entries, report, write_entries, write_report
+from measure_rollup.operators.report import (
+    entries,
+    report_line,
+    report_parts,
+    write_entries,
+    write_report,
+)
 from measure_rollup.operators.summary import (
     finalize,
     merge_summaries,
@@ -27,7 +33,8 @@ __all__ = [
     "partial_summary",
     "quarantine",
     "read_summaries",
-    "report",
+    "report_line",
+    "report_parts",
     "split_line",
     "summarize",
     "summarize_float",

@@ -43,17 +43,25 @@ def apply_mode(records: DataFrame, mode: str = "drop") -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if mode == "fail":
-        return fail_on_malformed(records)
+        row = F.array(F.struct("*"))
+        kept = F.when(F.col("t").isNotNull(), row).otherwise(_stop().cast(records.select(row).schema[0].dataType))
+        return records.select(F.inline(kept))
     return _rows_where(F.col("t").isNotNull(), records)
 
 
 def fail_on_malformed(records: DataFrame) -> DataFrame:
-    """The same records; reading a malformed one stops the query."""
-    message = F.concat(F.lit("malformed record: "), F.make_valid_utf8("value"))
-    stop = F.raise_error(message).cast(records.schema["t"].dataType)
+    """The same records; reading the value ``t`` of a malformed one stops the query.
+
+    For callers that use ``t``, such as a summary. ``apply_mode`` stops whatever is used.
+    """
+    stop = _stop().cast(records.schema["t"].dataType)
     return records.withColumn("t", F.when(F.col("t").isNotNull(), F.col("t")).otherwise(stop))
 
 
+def _stop() -> Column:
+    return F.raise_error(F.concat(F.lit("malformed record: "), F.make_valid_utf8("value")))
+
+
 def _rows_where(condition: Column, df: DataFrame) -> DataFrame:
     # A filter would be moved below the projections that parse the line and evaluate them
     # a second time. A generator that gives one row or none stays where it is.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from measure_rollup.functions import decode_name, to_float, to_tenths, validate_line
+from measure_rollup.functions import decode_name, to_float, to_tenths, valid_lines
 
 _ENDS = ("_head", "_tail")
 
@@ -40,7 +40,7 @@ def parse_records(
         raise ValueError(f"number must be 'tenths' or 'float', not {number!r}")
     parse = to_tenths if number == "tenths" else to_float
     cut = _Cut(delimiter, split)
-    fields = cut.ends(lines.withColumn("value", validate_line(F.col("value"), encoding)))
+    fields = cut.ends(valid_lines(lines, encoding))
     parsed = fields.select("*", F.when(cut.has_value, parse(cut.tail)).alias("t"))
     # A name only with a value: all malformed lines then share one group, which map-side
     # aggregation folds to a row per task, and no filter has to parse the line again.

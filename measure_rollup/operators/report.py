@@ -1,4 +1,8 @@
-"""Rendering: one entry per name, and the report ``{a=min/mean/max, b=min/mean/max}``."""
+"""Rendering: one entry per name, and the report ``{a=min/mean/max, b=min/mean/max}``.
+
+The report has two forms, chosen by the caller and never by size: ``report_parts``, a row per
+name, for any number of names, and ``report_line``, a single string.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,6 @@ from pyspark.sql import functions as F
 
 from measure_rollup.functions import f32_mean, f32_text, f32_units, mean_tenths, tenths_text
 from measure_rollup.operators.ordering import by_name, numbered
-from measure_rollup.sources.shared import settle
-
-# Up to this many entries are joined to a line, which one task does.
-LINE_NAMES = 100_000
 
 
 def entries(summary: DataFrame, render: str = "exact") -> DataFrame:
@@ -35,28 +35,37 @@ def entries(summary: DataFrame, render: str = "exact") -> DataFrame:
     return summary.select(name.alias("name"), F.concat(name, F.lit("="), low, slash, mean, slash, high).alias("entry"))
 
 
-def report(summary: DataFrame, render: str = "exact", line_names: int = LINE_NAMES) -> DataFrame:
-    """The report as ``(part, report)``.
+def report_line(summary: DataFrame, render: str = "exact") -> DataFrame:
+    """The report as one row ``(part, report)`` with ``part`` 0.
+
+    A single string value, which one task joins: for reports that fit one. Nothing is
+    computed until the caller asks for it.
+    """
+    line = F.coalesce(F.expr("listagg(entry, ', ') within group (order by name)"), F.lit(""))
+    whole = entries(summary, render).agg(F.concat(F.lit("{"), line, F.lit("}")).alias("report"))
+    return whole.select(F.lit(0).cast("bigint").alias("part"), "report")
+
+
+def report_parts(summary: DataFrame, render: str = "exact") -> DataFrame:
+    """The report as ``(part, report)``, one row per name for any number of names.
 
-    Up to ``line_names`` names it is one row. Beyond that it is one row per name, and the
-    texts in the order of ``part`` make up the line, so that no task ever joins an
-    unbounded number of entries. The summary is computed here, once.
+    The texts in the order of ``part`` make up the report. Without names it is one row,
+    ``{}``. The entries are computed, sorted and stored here, once.
     """
-    rows = settle(entries(summary, render))
-    if rows.count() <= line_names:
-        line = F.coalesce(F.expr("listagg(entry, ', ') within group (order by name)"), F.lit(""))
-        whole = rows.agg(F.concat(F.lit("{"), line, F.lit("}")).alias("report"))
-        return whole.select(F.lit(0).cast("bigint").alias("part"), "report")
+    rows = numbered(entries(summary, render))
     position = F.col("pos")
     opening = F.when(position == 1, F.lit("{")).otherwise(F.lit(", "))
     closing = F.when(position == F.col("total"), F.lit("}")).otherwise(F.lit(""))
-    text = F.concat(opening, F.col("entry"), closing)
-    return numbered(rows).select((position - 1).alias("part"), text.alias("report"))
+    parts = rows.select(
+        (position - 1).alias("part"), F.concat(opening, F.col("entry"), closing).alias("report")
+    )
+    empty = rows.agg(F.count("*").alias("n")).where(F.col("n") == 0)
+    return parts.unionByName(empty.select(F.lit(0).cast("bigint").alias("part"), F.lit("{}").alias("report")))
 
 
-def write_report(summary: DataFrame, path: str, render: str = "exact", line_names: int = LINE_NAMES) -> None:
+def write_report(summary: DataFrame, path: str, render: str = "exact") -> None:
     """Write the report as text: its parts, one per line, in order over the files."""
-    parts = report(summary, render, line_names)
+    parts = report_parts(summary, render)
     parts.orderBy("part").select("report").write.option("lineSep", "\n").text(path)
 
 

@@ -86,9 +86,13 @@ def write_summary(summary: DataFrame, path: str, part: str = "part") -> None:
     )
 
 
-def read_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """All parts of a stored summary table."""
-    return spark.read.parquet(path)
+def read_summaries(spark: SparkSession, path: str, part: str = "part", part_type: str = "string") -> DataFrame:
+    """All parts of a stored summary table, which may have no rows.
+
+    The part comes back as ``part_type``: as text it is what was written, ``007`` included.
+    """
+    schema = f"name string, min_t bigint, max_t bigint, sum_t bigint, cnt bigint, `{part}` {part_type}"
+    return spark.read.schema(schema).parquet(path)
 
 
 def _aggregate(records: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ from measure_rollup.operators import (
     partial_summary,
     quarantine,
     read_summaries,
-    report,
+    report_line,
+    report_parts,
     split_line,
     summarize_float,
     write_entries,
@@ -41,7 +43,7 @@ from measure_rollup.sources import (
     well_formed_rows,
     write_lines,
 )
-from measure_rollup.streaming import latest_summary, run_summary
+from measure_rollup.streaming import compact_summary, latest_summary, run_summary
 
 
 class Query(NamedTuple):
@@ -129,6 +131,14 @@ def _report_sql(entries_sql: str) -> str:
     return f"select 0::bigint as part, '{{' || {joined} || '}}' as report from ({entries_sql})"
 
 
+def _parts_sql(entries_sql: str) -> str:
+    return f"""
+        select pos - 1 as part, (case when pos = 1 then '{{' else ', ' end) || entry
+               || (case when pos = total then '}}' else '' end) as report
+        from (select entry, row_number() over (order by name) as pos, count(*) over () as total
+              from ({entries_sql}))"""
+
+
 def _float_sql(measure: Measure) -> str:
     return f"""
         select name, min(x)::double as min, round(avg(x), 4) as mean, max(x)::double as max, count(x) as cnt
@@ -145,10 +155,10 @@ def _rounded(summary: DataFrame) -> DataFrame:
 @_register(_report_sql(_entries_sql(SEGMENT)))
 def station_report(spark: SparkSession, folder: str) -> DataFrame:
     """Lines to the report, few names, with negative values."""
-    return report(summary_of(_lines(spark, folder, SEGMENT)))
+    return report_line(summary_of(_lines(spark, folder, SEGMENT)))
 
 
-@_register(_report_sql(_entries_sql(FLAG)))
+@_register(_parts_sql(_entries_sql(FLAG)))
 def file_report(spark: SparkSession, folder: str) -> DataFrame:
     """Text files to the report."""
     return run(spark, _written(spark, _lines(spark, folder, FLAG)))
@@ -218,6 +228,16 @@ def csv_decimal_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_register(_state_sql(SEGMENT))
+def key_value_folders(spark: SparkSession, folder: str) -> DataFrame:
+    """Folders named like partitions are only folders."""
+    path = new_folder(spark, "folders")
+    lines = _lines(spark, folder, SEGMENT, "c_custkey % 3 as shard")
+    for shard, name in enumerate(("value=x", "name=y", "t=1")):
+        write_lines(lines.where(F.col("shard") == shard), f"{path}/{name}")
+    return summary_of(read_lines(spark, path))
+
+
 # --- projections -----------------------------------------------------------------------
 
 
@@ -320,10 +340,21 @@ def utf8_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return summary.withColumn("name", F.hex(F.col("name").cast("binary")))
 
 
-@_register(_state_sql(PRIORITY))
+def _condition(df: DataFrame) -> str:
+    """The error condition that counting the rows ends in."""
+    try:
+        df.count()
+    except PySparkException as error:
+        return error.getCondition() or type(error).__name__
+    return "none"
+
+
+@_register(f"select *, 'INVALID_UTF8_STRING' as damaged from ({_state_sql(PRIORITY)})")
 def utf8_strict(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid text passes the strict policy unchanged."""
-    return summary_of(_lines(spark, folder, PRIORITY), encoding="strict")
+    """Valid text passes the strict policy unchanged; damaged lines stop even a count."""
+    damaged = _condition(parse_records(_latin(spark, folder), encoding="strict"))
+    summary = summary_of(_lines(spark, folder, PRIORITY), encoding="strict")
+    return summary.withColumn("damaged", F.lit(damaged))
 
 
 # --- record quality --------------------------------------------------------------------
@@ -389,10 +420,12 @@ def drop_malformed_last(spark: SparkSession, folder: str) -> DataFrame:
     return summary_of(_damaged(spark, folder), split="last")
 
 
-@_register(_state_sql(FLAG))
+@_register(f"select *, 'USER_RAISED_EXCEPTION' as damaged from ({_state_sql(FLAG)})")
 def fail_malformed(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean input passes the strict mode unchanged."""
-    return summary_of(_lines(spark, folder, FLAG), mode="fail")
+    """Clean input passes the strict mode unchanged; malformed lines stop even a count."""
+    damaged = _condition(apply_mode(parse_records(_damaged(spark, folder)), "fail"))
+    summary = summary_of(_lines(spark, folder, FLAG), mode="fail")
+    return summary.withColumn("damaged", F.lit(damaged))
 
 
 # The delimited reader takes any float, so 12.34 and +7.5 are well formed here, and an
@@ -506,18 +539,13 @@ def report_entries(spark: SparkSession, folder: str) -> DataFrame:
     return entries(summary_of(_lines(spark, folder, USER)))
 
 
-@_register(
-    f"""select pos - 1 as part, (case when pos = 1 then '{{' else ', ' end) || entry
-               || (case when pos = total then '}}' else '' end) as report
-        from (select entry, row_number() over (order by name) as pos, count(*) over () as total
-              from ({_entries_sql(PART)}))"""
-)
-def report_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """The report in the form it takes for more names than one task should join."""
-    return report(summary_of(_lines(spark, folder, PART)), line_names=100)
+@_register(_parts_sql(_entries_sql(PART)), "report_parts")
+def parts_of_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report with a row for each of many names."""
+    return report_parts(summary_of(_lines(spark, folder, PART)))
 
 
-@_register(f"select report as value from ({_report_sql(_entries_sql(PRIORITY))})")
+@_register(f"select report as value from ({_parts_sql(_entries_sql(PRIORITY))})")
 def written_report(spark: SparkSession, folder: str) -> DataFrame:
     """The report as a text file, read again."""
     path = new_folder(spark, "report")
@@ -549,24 +577,24 @@ _F32_STATE = ("min_t::float * 0.1::float", "(sum_t::float / cnt::float) * 0.1::f
 )
 def report_f32(spark: SparkSession, folder: str) -> DataFrame:
     """The report with every step in 32-bit floats."""
-    return report(summary_of(_lines(spark, folder, EVENT)), render="f32")
+    return report_line(summary_of(_lines(spark, folder, EVENT)), render="f32")
 
 
-def _float_report_sql(measure: Measure) -> str:
+def _float_entries_sql(measure: Measure) -> str:
     text = " || '/' || ".join(_f32_sql(v) for v in ("min", "mean::float", "max"))
-    return _report_sql(f"""
+    return f"""
         select name, name || '=' || {text} as entry from (
             select name, min(x) as min, avg(x) as mean, max(x) as max
-            from (select name, (t / 10.0::double)::float as x from {_tenths_sql(measure)}) group by name)""")
+            from (select name, (t / 10.0::double)::float as x from {_tenths_sql(measure)}) group by name)"""
 
 
-@_register(_float_report_sql(EVENT))
+@_register(_report_sql(_float_entries_sql(EVENT)))
 def report_float(spark: SparkSession, folder: str) -> DataFrame:
     """The report of the float path."""
-    return report(summary_of(_lines(spark, folder, EVENT), number="float"), render="float")
+    return report_line(summary_of(_lines(spark, folder, EVENT), number="float"), render="float")
 
 
-@_register(_float_report_sql(PRIORITY))
+@_register(_parts_sql(_float_entries_sql(PRIORITY)))
 def csv_report(spark: SparkSession, folder: str) -> DataFrame:
     """Delimited scan to the report."""
     return run(spark, _written(spark, _lines(spark, folder, PRIORITY)), reader="csv")
@@ -585,10 +613,11 @@ def rounded_means(spark: SparkSession, folder: str) -> DataFrame:
 @_register(f"""select name, {_STATE_SQL} from (
     select * from {_tenths_sql(EVENT)} union all select * from {_tenths_sql(SEGMENT)}) group by name""")
 def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """A running summary: some files, then a second run that finds more."""
+    """A running summary: some files, a snapshot, then a second run that finds more."""
     source, output = new_folder(spark, "arriving"), new_folder(spark, "running")
     write_lines(_lines(spark, folder, EVENT), f"{source}/first")
-    run_summary(spark, f"{source}/*", output)
+    run_summary(spark, source, output)
+    compact_summary(spark, output)
     write_lines(_lines(spark, folder, SEGMENT), f"{source}/second")
-    run_summary(spark, f"{source}/*", output)
+    run_summary(spark, source, output)
     return latest_summary(spark, output)

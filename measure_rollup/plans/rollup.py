@@ -9,7 +9,7 @@ from measure_rollup.operators import (
     fail_on_malformed,
     finalize,
     parse_records,
-    report,
+    report_parts,
     summarize,
     summarize_float,
 )
@@ -52,16 +52,30 @@ def rollup(spark: SparkSession, path: str | list[str], reader: str = "text", **o
 def run(
     spark: SparkSession, path: str | list[str], reader: str = "text", render: str | None = None, **options
 ) -> DataFrame:
-    """Path to report, with the options of :func:`rollup`."""
+    """Path to report, a row ``(part, report)`` per name, with the options of :func:`rollup`."""
+    check_options(reader, render, options)
     summary, is_float = _summary(spark, path, reader, options)
-    return report(summary, render or ("float" if is_float else "exact"))
+    return report_parts(summary, render or ("float" if is_float else "exact"))
+
+
+def check_options(reader: str = "text", render: str | None = None, options: dict | None = None) -> None:
+    """Raise ``ValueError`` for options that do not go together."""
+    given = options or {}
+    if reader not in ("text", "csv"):
+        raise ValueError(f"reader must be 'text' or 'csv', not {reader!r}")
+    text_only = sorted({"split", "encoding", "number"} & given.keys())
+    if reader == "csv" and text_only:
+        raise ValueError(f"the csv reader does not take {', '.join(text_only)}")
+    is_float = reader == "csv" or given.get("number") == "float"
+    if render is not None and is_float != (render == "float"):
+        kept = "32-bit floats" if is_float else "tenths"
+        raise ValueError(f"a summary in {kept} cannot be rendered as {render!r}")
 
 
 def _summary(spark: SparkSession, path: str | list[str], reader: str, options: dict) -> tuple[DataFrame, bool]:
+    check_options(reader, None, options)
     if reader == "csv":
         scan = read_measurements(spark, path, **options)
         kept = well_formed_rows(scan) if options.get("mode") == "quarantine" else scan
         return summarize_float(kept, value="value"), True
-    if reader != "text":
-        raise ValueError(f"reader must be 'text' or 'csv', not {reader!r}")
     return summary_of(read_lines(spark, path), **options), options.get("number") == "float"

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from measure_rollup.sources.lines import read_lines
+
 CORRUPT = "malformed"
 
 MODES = ("drop", "fail", "quarantine")
@@ -19,31 +23,48 @@ def read_measurements(
 ) -> DataFrame:
     """Scan to ``(name string, value <value_type>)``.
 
-    Quotes are ordinary characters and invalid UTF-8 is replaced. An empty name or
-    value is null, and so is NaN. With ``mode='quarantine'`` a third column,
-    ``malformed``, holds the text of each record that does not fit the schema and is null
-    otherwise; ``drop`` leaves these records out, ``fail`` stops at the first one read.
+    Records are the lines of :func:`read_lines`: only ``\\n`` ends one. A record is well
+    formed with exactly two fields and a value that is empty or castable; so a blank line is
+    malformed. Quotes and all other characters are ordinary, invalid UTF-8 in a name is
+    replaced. An empty name or value is null, and so is NaN. With ``mode='quarantine'`` a
+    third column, ``malformed``, holds the text of each malformed record and is null
+    otherwise; ``drop`` leaves these records out, ``fail`` stops at the first one read,
+    whatever columns are used.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    # Both fields of a record are split off even if one is used, so that a record with
-    # too few or too many is malformed in every query.
-    reader = spark.read.options(sep=delimiter, header=False, quote="", columnPruning=False)
-    schema = f"name string, value {value_type}"
-    value = F.col("value")
+    if len(delimiter) != 1:
+        raise ValueError("the delimiter must be one character")
+    # A third field is looked for, but a line of any number of delimiters makes no more.
+    fields = read_lines(spark, path).select("value", F.split("value", re.escape(delimiter), 3).alias("fields"))
+    text = F.when(F.size("fields") == 2, F.col("fields")[1])
+    parsed = fields.select(
+        "value",
+        F.nullif(F.make_valid_utf8(F.col("fields")[0]), F.lit("")).alias("name"),
+        text.alias("text"),
+        text.try_cast(value_type).alias("number"),
+    )
+    good = F.col("text").isNotNull() & ((F.col("text") == "") | F.col("number").isNotNull())
+    number = F.col("number")
     if value_type in ("float", "double"):
-        value = F.nullif(value, F.lit(float("nan")).cast(value_type))
-    if mode == "fail":
-        return reader.option("mode", "FAILFAST").schema(schema).csv(path).select("name", value.alias("value"))
-    reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-    # Naming the value keeps the reader parsing it, whatever columns are used later. A
-    # number that is never parsed would never count as malformed.
-    bad = F.when(F.col("value").isNull() | F.col(CORRUPT).isNotNull(), F.col(CORRUPT))
-    scan = reader.schema(f"{schema}, {CORRUPT} string").csv(path)
-    scan = scan.select("name", value.alias("value"), bad.alias(CORRUPT))
-    return well_formed_rows(scan) if mode == "drop" else scan
-
-
-def well_formed_rows(scan: DataFrame) -> DataFrame:
-    """The kept records of a ``mode='quarantine'`` scan."""
-    return scan.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        number = F.nullif(number, F.lit(float("nan")).cast(value_type))
+    malformed = F.when(~good | F.col("text").isNull(), F.col("value"))
+    scan = parsed.select(
+        F.when(malformed.isNull(), F.col("name")).alias("name"),
+        F.when(malformed.isNull(), number).alias("value"),
+        malformed.alias(CORRUPT),
+    )
+    if mode == "quarantine":
+        return scan
+    return well_formed_rows(scan, stop=mode == "fail")
+
+
+def well_formed_rows(scan: DataFrame, stop: bool = False) -> DataFrame:
+    """The kept records of a ``mode='quarantine'`` scan; with ``stop``, a malformed one raises."""
+    # A generator stays where it is, so that the line is split once and no check is pruned.
+    row = F.array(F.struct(*(c for c in scan.columns if c != CORRUPT)))
+    kept = F.when(F.col(CORRUPT).isNull(), row)
+    if stop:
+        message = F.concat(F.lit("malformed record: "), F.make_valid_utf8(CORRUPT))
+        kept = kept.otherwise(F.raise_error(message).cast(scan.select(row).schema[0].dataType))
+    return scan.select(F.inline(kept))

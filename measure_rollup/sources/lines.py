@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of a file, a folder, a glob or a list of these."""
-    return _without_cr(spark.read.option("lineSep", "\n").text(path))
+    """Lines of a file, a folder, a glob or a list of these.
+
+    Folders are read with all folders below them, and a folder named ``key=value`` is a
+    folder like any other, not a column.
+    """
+    return _without_cr(spark.read.options(lineSep="\n", recursiveFileLookup=True).text(path))
 
 
 def stream_lines(
@@ -23,7 +27,7 @@ def stream_lines(
 
     ``max_files`` / ``max_bytes`` bound one micro-batch; give at most one of them.
     """
-    reader = spark.readStream.option("lineSep", "\n")
+    reader = spark.readStream.options(lineSep="\n", recursiveFileLookup=True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

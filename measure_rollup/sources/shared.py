@@ -6,6 +6,7 @@ session that names none gets a temporary folder of its own.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,7 +39,7 @@ def _root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if context.getCheckpointDir() is not None:
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):  # local-cluster[..] has executors of its own
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
     root = tempfile.mkdtemp(prefix="measure-rollup-")
     context.setCheckpointDir(root)

@@ -1,5 +1,5 @@
 """A running summary over files that keep arriving."""
 
-from measure_rollup.streaming.running import latest_summary, run_summary
+from measure_rollup.streaming.running import compact_summary, latest_summary, run_summary
 
-__all__ = ["latest_summary", "run_summary"]
+__all__ = ["compact_summary", "latest_summary", "run_summary"]

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 
 from measure_rollup import summary_of
 from measure_rollup.functions import f32_mean, f32_text, f32_units
-from measure_rollup.operators import by_name, entries, numbered, report, write_entries, write_report
+from measure_rollup.operators import (
+    by_name,
+    entries,
+    numbered,
+    report_line,
+    report_parts,
+    write_entries,
+    write_report,
+)
 from measure_rollup.sources import new_folder, read_lines
 
 
@@ -45,23 +53,29 @@ def test_positions(spark, names):
 
 def test_parts_make_up_the_line(spark, names):
     summary = _summary(spark, _shuffled(names)).repartition(7)
-    (whole,) = report(summary).collect()
+    (whole,) = report_line(summary).collect()
     assert whole.report == "{" + ", ".join(f"{n}=-0.5/49.5/99.5" for n in names) + "}"
-    for line_names, parts in ((len(names), 1), (len(names) - 1, len(names)), (1, len(names))):
-        rows = report(summary, line_names=line_names).orderBy("part").collect()
-        assert [r.part for r in rows] == list(range(parts))
-        assert "".join(r.report for r in rows) == whole.report
+    rows = report_parts(summary).orderBy("part").collect()
+    assert [r.part for r in rows] == list(range(len(names)))
+    assert "".join(r.report for r in rows) == whole.report
 
 
-def test_written_report(spark, names, tmp_path):
-    summary = _summary(spark, _shuffled(names))
-    line = report(summary).first().report
-    write_report(summary, str(tmp_path / "one"))
-    (only,) = sorted((tmp_path / "one").glob("part-*"))
-    assert only.read_text() == line + "\n"
-    write_report(summary, str(tmp_path / "many"), line_names=100)
-    text = "".join(f.read_text() for f in sorted((tmp_path / "many").glob("part-*")))
-    assert text.replace("\n", "") == line
+@pytest.mark.parametrize("size", [1, 2, 100_000, 100_001])
+def test_written_report_has_one_layout(spark, tmp_path, size):
+    names = [f"{i:06}" for i in range(size)]
+    summary = spark.range(size).selectExpr(
+        "lpad(id, 6, '0') as name", "15L as min_t", "15L as max_t", "15L as sum_t", "1L as cnt"
+    )
+    write_report(summary.repartition(5), str(tmp_path / "out"))
+    text = "".join(f.read_text() for f in sorted((tmp_path / "out").glob("part-*")))
+    lines = [f"{n}=1.5/1.5/1.5" for n in names]
+    assert text == "{" + "\n, ".join(lines) + "}\n"
+
+
+def test_line_starts_no_job(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    report_line(_summary(spark, ["a", "b"]))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
 def test_written_entries_are_in_order(spark, names, tmp_path):
@@ -72,7 +86,8 @@ def test_written_entries_are_in_order(spark, names, tmp_path):
 
 def test_empty_report(spark, tmp_path):
     summary = _summary(spark, ["a"]).where("false")
-    assert [tuple(r) for r in report(summary).collect()] == [(0, "{}")]
+    assert [tuple(r) for r in report_line(summary).collect()] == [(0, "{}")]
+    assert [tuple(r) for r in report_parts(summary).collect()] == [(0, "{}")]
     write_report(summary, str(tmp_path / "empty"))
     assert [r.value for r in read_lines(spark, str(tmp_path / "empty")).collect()] == ["{}"]
 
@@ -89,7 +104,7 @@ def test_extreme_values(spark):
 def test_null_name_is_rendered_empty(spark):
     schema = "name string, min double, mean double, max double, cnt bigint"
     frame = spark.createDataFrame([(None, 1.0, 1.0, 1.0, 1)], schema)
-    assert report(frame, render="float").first().report == "{=1.0/1.0/1.0}"
+    assert report_line(frame, render="float").first().report == "{=1.0/1.0/1.0}"
 
 
 def test_unknown_rendering(spark):
@@ -123,16 +138,15 @@ def test_report_of_written_lines(spark, names):
     frame = spark.createDataFrame([(f"{n};1.5",) for n in _shuffled(usable)], "value string")
     path = new_folder(spark, "names")
     frame.write.text(path)
-    assert report(summary_of(read_lines(spark, path))).first().report == (
+    assert report_line(summary_of(read_lines(spark, path))).first().report == (
         "{" + ", ".join(f"{n}=1.5/1.5/1.5" for n in usable) + "}"
     )
 
 
-@pytest.mark.parametrize("line_names", [100, 1], ids=["one_row", "row_per_name"])
-def test_input_is_not_read_again(spark, write, line_names):
+def test_input_is_not_read_again(spark, write):
     """Rendering works on stored rows: it does not miss the input."""
     path = write(b"A;1.0\nB;2.0\nA;3.0\n")
-    parts = report(summary_of(read_lines(spark, path)), line_names=line_names)
+    parts = report_parts(summary_of(read_lines(spark, path)))
     positions = numbered(summary_of(read_lines(spark, path)))
     os.unlink(path)
     text = "".join(r.report for r in parts.orderBy("part").collect())

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from measure_rollup import rollup, summary_of
-from measure_rollup.operators import summarize_float
+from measure_rollup import rollup, run, summary_of
+from measure_rollup.operators import apply_mode, parse_records, summarize_float
 from measure_rollup.sources import CORRUPT, read_lines, read_measurements, well_formed_rows, write_lines
 
 SPLITS = ["64k", "1m", "128m"]
@@ -81,11 +81,13 @@ def test_csv_modes(spark, write):
     scan = read_measurements(spark, path, "quarantine")
     assert [tuple(r) for r in well_formed_rows(scan).collect()] == dropped
     malformed = scan.where(F.col(CORRUPT).isNotNull())
-    assert [r[0] for r in malformed.select(CORRUPT).collect()] == ["nosemi", "A;x", "A;1.0;2"]
-    assert malformed.count() == 3
+    assert [r[0] for r in malformed.select(CORRUPT).collect()] == ["nosemi", "A;x", "A;1.0;2", ""]
+    assert malformed.count() == 4
     for bad in (b"nosemi\n", b"A;x\n", b"A;1.0;2\n"):
-        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|FAILED_READ_FILE"):
-            read_measurements(spark, write(bad), "fail").collect()
+        scan = read_measurements(spark, write(b"A;1.0\n" + bad), "fail")
+        for use in (scan.collect, scan.count, scan.select("name").collect, scan.select("value").collect):
+            with pytest.raises(Exception, match="malformed record"):
+                use()
     with pytest.raises(ValueError):
         read_measurements(spark, path, "skip")
 
@@ -98,3 +100,59 @@ def test_csv_damaged_text_is_replaced(spark, write):
 def test_csv_summary(spark, write):
     scan = read_measurements(spark, write(b"A;1.5\nA;\nB;\nA;2.5\n"))
     assert [tuple(r) for r in summarize_float(scan, value="value").collect()] == [("A", 1.5, 2.0, 2.5, 2)]
+
+
+def test_csv_lines_that_a_csv_reader_takes_otherwise(spark, write):
+    path = write(b"A" + b";" * 30_000 + b"\nA\rB;1.0\n\x00Q;2.0\nA;NaN\nA; 3.0\n")
+    assert [tuple(r) for r in read_measurements(spark, path).collect()] == [
+        ("A\rB", 1.0),
+        ("\x00Q", 2.0),
+        ("A", None),
+        ("A", 3.0),
+    ]
+    malformed = read_measurements(spark, path, "quarantine").where(F.col(CORRUPT).isNotNull())
+    assert [r[0] for r in malformed.select(CORRUPT).collect()] == ["A" + ";" * 30_000]
+    with pytest.raises(Exception, match="malformed record"):
+        read_measurements(spark, path, "fail").count()
+
+
+@pytest.mark.parametrize("delimiter", ["|", ".", "\\", "$"])
+def test_csv_delimiter_is_no_pattern(spark, write, delimiter):
+    path = write(f"A{delimiter}1\nB;2\n".encode())
+    assert [tuple(r) for r in read_measurements(spark, path, delimiter=delimiter).collect()] == [("A", 1.0)]
+
+
+def test_key_value_folders(spark, tmp_path):
+    for name in ("value=x", "name=x", "t=1"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "lines.txt").write_text("A;1.0\n")
+    assert rollup(spark, str(tmp_path)).first().asDict() == {"name": "A", "min": 1.0, "mean": 1.0, "max": 1.0, "cnt": 3}
+
+
+def test_fail_and_strict_stop_whatever_is_used(spark):
+    lines = spark.createDataFrame([(bytearray(b),) for b in (b"A;1.0", b"nosemi", b"L\xff;1.0")], "raw binary")
+    lines = lines.select(F.col("raw").cast("string").alias("value"))
+    good = lines.where("value = 'A;1.0'")
+    for make, message in (
+        (lambda d: apply_mode(parse_records(d), "fail"), "malformed record"),
+        (lambda d: parse_records(d, encoding="strict"), "INVALID_UTF8_STRING"),
+    ):
+        for use in (lambda d: d.count(), lambda d: d.select("name").collect(), lambda d: d.select("t").collect()):
+            use(make(good))
+            with pytest.raises(Exception, match=message):
+                use(make(lines))
+
+
+def test_options_that_do_not_go_together(spark, write):
+    path = write(b"A;1.0\n")
+    for options in (
+        {"reader": "csv", "split": "last"},
+        {"reader": "csv", "encoding": "strict"},
+        {"reader": "csv", "number": "float"},
+        {"reader": "csv", "render": "exact"},
+        {"number": "float", "render": "exact"},
+        {"render": "float"},
+        {"reader": "json"},
+    ):
+        with pytest.raises(ValueError):
+            run(spark, path, **options)

@@ -41,6 +41,8 @@ def _session(context):
 def test_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared._root(_session(_Context("yarn")))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared._root(_session(_Context("local-cluster[2,1,1024]")))
 
 
 def test_cluster_setting_wins():

@@ -6,7 +6,7 @@ import pytest
 
 from measure_rollup import summary_of
 from measure_rollup.sources import read_lines
-from measure_rollup.streaming import latest_summary, run_summary
+from measure_rollup.streaming import compact_summary, latest_summary, run_summary, running
 
 
 @pytest.fixture
@@ -88,3 +88,60 @@ def test_no_files_yet(spark, folders):
     (source / "1.txt").write_text("A;1.0\n")
     run_summary(spark, str(source), output)
     assert _rows(latest_summary(spark, output)) == [("A", 10, 10, 10, 1)]
+
+
+def test_key_value_folders(spark, folders):
+    source, output = folders
+    (source / "value=x").mkdir()
+    (source / "value=x" / "1.txt").write_text("A;1.0\n")
+    run_summary(spark, str(source), output)
+    assert _rows(latest_summary(spark, output)) == [("A", 10, 10, 10, 1)]
+
+
+def _read_rows(spark, output):
+    """How many stored rows a reader of the summary reads."""
+    files = running._Files(spark, output)
+    kept = [f"batch={n}" for n in files.batches() if n > files.snapshot()]
+    kept += [f"_snapshots/snapshot={files.snapshot()}"] if files.snapshot() >= 0 else []
+    return sum(spark.read.parquet(f"{output}/{k}").count() for k in kept)
+
+
+def test_snapshots_bound_what_is_read(spark, folders):
+    source, output = folders
+    for round_ in range(5):
+        for i in range(4):
+            (source / f"{round_}-{i}.txt").write_text("".join(f"n{k};{round_}.{i}\n" for k in range(20)))
+        run_summary(spark, str(source), output, max_files=1)
+        held = latest_summary(spark, output)
+        before = _rows(held)
+        compact_summary(spark, output)
+        assert _rows(held) == before  # a reader that listed the older files
+        running_, batch = _both(spark, source, output)
+        assert running_ == batch == before
+        assert _read_rows(spark, output) == 20
+    assert len(list(Path(output).glob("batch=*"))) <= 4
+    compact_summary(spark, output)
+    assert _both(spark, source, output)[0] == before
+
+
+def test_failed_compaction_changes_nothing(spark, folders, monkeypatch):
+    source, output = folders
+    for i in range(3):
+        (source / f"{i}.txt").write_text(f"A;{i}.5\nn{i};-{i}.0\n")
+        run_summary(spark, str(source), output)
+        if i == 1:
+            compact_summary(spark, output)
+    before, batch = _both(spark, source, output)
+
+    def crash(self, folder):
+        raise OSError(folder)
+
+    monkeypatch.setattr(running._Files, "remove", crash)
+    with pytest.raises(OSError):
+        compact_summary(spark, output)
+    assert _both(spark, source, output)[0] == before == batch
+    (Path(output) / "_snapshots" / "snapshot=2" / "_SUCCESS").unlink()  # as if it had ended earlier
+    assert _both(spark, source, output)[0] == before
+    monkeypatch.undo()
+    compact_summary(spark, output)
+    assert _both(spark, source, output)[0] == before

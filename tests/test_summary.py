@@ -12,7 +12,7 @@ from measure_rollup.operators import (
     parse_records,
     partial_summary,
     read_summaries,
-    report,
+    report_line,
     summarize,
     write_summary,
 )
@@ -79,7 +79,7 @@ def test_sum_beyond_32_bits(spark):
     lines = spark.range(2_200_000).select(F.lit("A;99.9").alias("value"))
     summary = summary_of(lines)
     assert _rows(summary) == [("A", 999, 999, 2_197_800_000, 2_200_000)]
-    assert report(summary).first().report == "{A=99.9/99.9/99.9}"
+    assert report_line(summary).first().report == "{A=99.9/99.9/99.9}"
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -103,9 +103,9 @@ def test_same_result_without_ansi(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         lines = spark.createDataFrame([("A;1.0",), ("A;x",), ("x",), ("A;2.5",)], "value string")
-        assert report(summary_of(lines)).first().report == "{A=1.0/1.8/2.5}"
-        assert report(summary_of(lines), render="f32").first().report == "{A=1.0/1.8/2.5}"
-        assert report(summary_of(lines, number="float"), render="float").first().report == "{A=1.0/1.8/2.5}"
+        assert report_line(summary_of(lines)).first().report == "{A=1.0/1.8/2.5}"
+        assert report_line(summary_of(lines), render="f32").first().report == "{A=1.0/1.8/2.5}"
+        assert report_line(summary_of(lines, number="float"), render="float").first().report == "{A=1.0/1.8/2.5}"
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
@@ -118,3 +118,17 @@ def test_hot_name(spark):
     rows = {r.name: r for r in summary_of(lines).collect()}
     assert rows["hot"].cnt == 100_000 and sum(r.cnt for r in rows.values()) == 300_000
     assert rows["hot"].sum_t == sum((i % 100) * 10 + i % 10 for i in range(0, 300_000, 3))
+
+
+def test_stored_parts_come_back_as_written(spark, tmp_path):
+    records = spark.createDataFrame(
+        [("007", "A", 1), ("7", "A", 2), (None, "B", 3)], "shard string, name string, t bigint"
+    )
+    summary = partial_summary(records, F.col("shard"))
+    write_summary(summary, str(tmp_path / "s"))
+    back = read_summaries(spark, str(tmp_path / "s"))
+    assert sorted(map(tuple, back.select(summary.columns).collect()), key=repr) == sorted(
+        map(tuple, summary.collect()), key=repr
+    )
+    write_summary(summary.where("false"), str(tmp_path / "none"))
+    assert read_summaries(spark, str(tmp_path / "none")).collect() == []
