@@ -670,6 +670,6 @@ def test_warc_odd_and_round_trip(spark, tmp_path):
 
 
 def test_block_with_a_border_is_marked(spark, tmp_path):
-    pages = spark.createDataFrame([(1, "http://a", "x\r\n\r\nWARC/1.0\r\ny")], PAGE)
+    pages = spark.createDataFrame([(1, "http://a", "x\r\n\r\nWARC/1.0\r\ny", None, None)], PAGE)
     warc.write_records(warc.responses(pages), str(tmp_path / "w"))
     assert {r.whole for r in warc.read_records(spark, str(tmp_path / "w")).collect()} == {False}
