@@ -83,12 +83,14 @@ def targets(cells: DataFrame, name: str, wanted: Mapping[str, float] | float) ->
         given = F.create_map(*(F.lit(x) for k, v in wanted.items() for x in (f"={k}", float(v))))
         share = F.coalesce(given[F.col(column)], F.lit(0.0))
     else:
-        total = seen.agg(F.sum("tokens").alias("total"))
-        seen = seen.join(F.broadcast(total))  # one row
-        share = F.pow(F.col("tokens") / F.col("total"), F.lit(float(wanted)))
+        share = F.pow(F.col("tokens") / F.lit(_total(seen, "tokens")), F.lit(float(wanted)))
     seen = seen.select(column, share.alias("share"))
-    whole = seen.agg(F.sum("share").alias("whole"))
-    return seen.join(F.broadcast(whole)).select(column, (F.col("share") / F.col("whole")).alias("target"))
+    return seen.select(column, (F.col("share") / F.lit(_total(seen, "share"))).alias("target"))
+
+
+def _total(df: DataFrame, column: str) -> float:
+    """A sum, one number; 1 if it is nothing, which then divides no row."""
+    return float(df.agg(F.sum(column)).first()[0] or 1)
 
 
 def rake(
@@ -110,9 +112,8 @@ def rake(
         scaled = F.when(F.col("held") > 0, F.col("weight") * F.col(f"{name}_target") / F.col("held"))
         raked = raked.join(held, f"_{name}").withColumn("weight", F.coalesce(scaled, F.lit(0.0)))
         raked = settle(raked.select(aimed.columns))
-    total = raked.agg(F.sum("tokens").alias("total"))
-    factor = F.round(F.col("weight") / (F.col("tokens") / F.col("total")), DIGITS)
-    return raked.join(F.broadcast(total)).select(*cells.columns, factor.alias("factor"))
+    factor = F.round(F.col("weight") / (F.col("tokens") / F.lit(_total(raked, "tokens"))), DIGITS)
+    return raked.select(*cells.columns, factor.alias("factor"))
 
 
 def _calibrated(docs: DataFrame, wanted, rounds: int) -> tuple[DataFrame, DataFrame]:
@@ -121,18 +122,12 @@ def _calibrated(docs: DataFrame, wanted, rounds: int) -> tuple[DataFrame, DataFr
     rows = described(docs)
     cells = settle(rows.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")))
     factors = rake(cells, wanted, rounds).select(*keys, "factor")
-    largest = factors.agg(F.max("factor").alias("largest"))
-    weighed = (
-        cells.join(factors, keys, "left")
-        .join(F.broadcast(largest))  # one row
-        .select(
-            *keys,
-            F.coalesce("factor", F.lit(1.0)).alias("factor"),
-            F.coalesce(
-                F.round(F.least(F.lit(1.0), F.coalesce("factor", F.lit(1.0)) / F.col("largest")), DIGITS),
-                F.lit(1.0),
-            ).alias("probability"),
-        )
+    largest = factors.agg(F.max("factor")).first()[0] or 1.0
+    factor = F.coalesce("factor", F.lit(1.0))
+    weighed = cells.join(factors, keys, "left").select(
+        *keys,
+        factor.alias("factor"),
+        F.round(F.least(F.lit(1.0), factor / F.lit(largest)), DIGITS).alias("probability"),
     )
     path = new_folder(docs.sparkSession, "cells")
     weighed.write.parquet(path)
