@@ -35,8 +35,8 @@ DATE = "1970-01-01T00:00:00Z"  # of responses made from a table, which has no da
 
 # Patterns that Java's and RE2's regular expressions take alike.
 HIDDEN = (
-    r"(?is)<!--.*?-->|<head\b.*?</head\s*>|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"|<noscript\b.*?</noscript\s*>|<template\b.*?</template\s*>"
+    r"(?is)<(?:!--.*?--|head\b.*?</head\s*|script\b.*?</script\s*|style\b.*?</style\s*"
+    r"|noscript\b.*?</noscript\s*|template\b.*?</template\s*)>"
 )
 BLOCKS = (
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figcaption|figure|footer|form"
@@ -58,7 +58,7 @@ ENTITIES = {
     "&amp;": "&",
 }
 OTHER_ENTITY = "&(?!(?:" + "|".join(e[1:-1] for e in ENTITIES) + ");)(?:#|[a-zA-Z])"
-SPACES = r"[ \t\f\r\x0B\x{A0}]+"
+SPACES = r"[ \t\f\r\x0B\x{A0}]{2,}|[\t\f\r\x0B\x{A0}]"  # all but what is a single space already
 LINES = r" ?\n[ \n]*"
 END = "\r\n\r\n"
 
@@ -76,7 +76,10 @@ def _all_entities(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def decoded(text: Column) -> Column:
-    """Entities decoded once; ``&amp;`` last, so that what it guards is not decoded."""
+    """Entities decoded once; ``&amp;`` last, so that what it guards is not decoded.
+
+    ``text`` is used several times: it should be a column, not a long expression.
+    """
     known = text
     for entity, sign in ENTITIES.items():
         known = F.replace(known, F.lit(entity), F.lit(sign))
@@ -89,9 +92,10 @@ def collapsed(text: Column) -> Column:
     return F.btrim(lines, F.lit(" \n"))
 
 
-def plain_text(page: Column) -> Column:
+def without_markup(page: Column) -> Column:
+    """The page's visible text, entities and white space as they are."""
     visible = F.regexp_replace(page, HIDDEN, "\n")
-    return collapsed(decoded(F.regexp_replace(F.regexp_replace(visible, BLOCKS, "\n"), TAGS, "")))
+    return F.regexp_replace(F.regexp_replace(visible, BLOCKS, "\n"), TAGS, "")
 
 
 def digest(block: Column) -> Column:
@@ -185,8 +189,15 @@ def derivatives(records: DataFrame) -> DataFrame:
         .otherwise(F.col("block"))
         .alias("payload"),
     )
-    title = collapsed(decoded(F.regexp_extract("payload", TITLE, 1)))
-    links = F.array_distinct(F.regexp_extract_all("payload", F.lit(LINK), 1))
+    # each step is a projection of its own, so that no pattern is searched for twice
+    rows = rows.select(
+        *(c for c in rows.columns if c != "payload"),
+        F.regexp_extract("payload", TITLE, 1).alias("title"),
+        F.array_distinct(F.regexp_extract_all("payload", F.lit(LINK), 1)).alias("links"),
+        without_markup(F.col("payload")).alias("text"),
+    )
+    rows = rows.withColumns({name: decoded(F.col(name)) for name in ("title", "text")})
+    rows = rows.withColumns({name: collapsed(F.col(name)) for name in ("title", "text")})
     fields = F.concat(
         _field("refers-to", F.col("refers_to")),
         _field("source-block-digest", F.col("source_block")),
@@ -200,8 +211,8 @@ def derivatives(records: DataFrame) -> DataFrame:
                 F.lit("\r\n"),
             ),
         ).otherwise(""),
-        _field("title", F.when(title != "", title)),
-        F.concat_ws("", F.transform(links, lambda uri: _field("outlink", decoded_uri(uri)))),
+        _field("title", F.when(F.col("title") != "", F.col("title"))),
+        F.concat_ws("", F.transform("links", lambda uri: _field("outlink", decoded_uri(uri)))),
     )
     kinds = F.array(
         F.struct(
@@ -212,7 +223,7 @@ def derivatives(records: DataFrame) -> DataFrame:
         F.struct(
             F.lit("conversion").alias("warc_type"),
             F.lit("text/plain; charset=utf-8").alias("content_type"),
-            plain_text(F.col("payload")).alias("block"),
+            F.col("text").alias("block"),
         ),
     )
     made = rows.select("refers_to", "target_uri", "warc_date", F.inline(kinds)).select(
