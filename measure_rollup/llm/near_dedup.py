@@ -13,9 +13,10 @@ but for one in 10^9 pairs; with edits spread so evenly that only half of the run
 shared, but for one in a hundred.
 
 Verification: within a bucket every member is first aligned with the bucket's smallest
-member. That leaves pairs of members that are not (yet) connected: they are aligned too,
-block by block of a bucket, unless the lengths or the word counts alone (folded into
-``FOLDS`` bins) prove them too far apart. Links are verified, so shared passages alone do not
+member. That leaves pairs of members that are not (yet) connected: they are aligned too, each
+member with those likely nearest to it first and then, of what is still apart, all pairs, block
+by block of a bucket. No pair is aligned whose lengths or word counts
+(folded into ``FOLDS`` bins) alone prove it too far apart. Links are verified, so shared passages alone do not
 link. Groups are the connected components of the links.
 
 No bucket is collected whole: minima are combined before the shuffle, and a bucket of
@@ -170,18 +171,21 @@ def allowed(size_a, size_b, similarity: float = SIMILARITY):
     return np.floor((1 - similarity) * np.maximum(size_a, size_b) + 1e-9).astype(np.int64)
 
 
-def may_match(size_a, bins_a, size_b, bins_b) -> np.ndarray:
-    """False where lengths or word counts prove the distance too large.
+def least_distance(size_a, bins_a, size_b, bins_b) -> np.ndarray:
+    """What lengths and word counts prove the distance to be at least.
 
     An edit changes the count of one word, or of two in opposite ways, so the distance is
     at least the sum of one side's surplus; folding and capping only lower it.
     """
-    limit = allowed(size_a, size_b)
     surplus = bins_a.astype(np.int16) - bins_b.astype(np.int16)
-    least = np.maximum(
-        np.where(surplus > 0, surplus, 0).sum(axis=-1), np.where(surplus < 0, -surplus, 0).sum(axis=-1)
-    )
-    return (np.abs(size_a - size_b) <= limit) & (least <= limit)
+    more = np.where(surplus > 0, surplus, 0).sum(axis=-1)
+    less = np.where(surplus < 0, -surplus, 0).sum(axis=-1)
+    return np.maximum(np.abs(size_a - size_b), np.maximum(more, less))
+
+
+def may_match(size_a, bins_a, size_b, bins_b) -> np.ndarray:
+    """False where lengths or word counts prove the distance too large."""
+    return least_distance(size_a, bins_a, size_b, bins_b) <= allowed(size_a, size_b)
 
 
 def _bins(column) -> np.ndarray:
@@ -301,9 +305,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, distance of the ``pairs`` that are similar."""
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(other, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(
-        _align, "a long, b long, distance long"
-    )
+    # dealt by pair: one text may be in many pairs, and partitions are not merged by size
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = pairs.join(other, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+    return both.repartition(tasks, "a", "b").mapInArrow(_align, "a long, b long, distance long")
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -314,10 +319,12 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").mapInArrow(_only_possible, "a long, b long")
 
 
-def _unconnected(batches) -> Iterator[pa.RecordBatch]:
-    """Possible pairs of different components, of rows sorted by bucket and pair of blocks."""
+def _unconnected(nearest: int):
+    """Possible pairs of different components, of rows sorted by bucket and pair of blocks.
+
+    All of them, or of each member only the ``nearest`` ones, as the bound has it.
+    """
     columns = ["name", "pair", "second", "same", "doc_id", "component", "size", "bins"]
-    waiting: list[np.ndarray] | None = None
 
     def arrays(batch):
         plain = [batch[c].to_numpy(zero_copy_only=False) for c in columns[:-1]]
@@ -327,43 +334,61 @@ def _unconnected(batches) -> Iterator[pa.RecordBatch]:
         _, _, second, same, ids, component, size, bins = rows
         one, other = (~second, second) if not same[0] else (slice(None), slice(None))
         i, j = np.nonzero(component[one][:, None] != component[other][None, :])
+        found = []
         for at in range(0, len(i), 1 << 16):
             x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            good = may_match(size[one][x], bins[one][x], size[other][y], bins[other][y])
-            a, b = ids[one][x[good]], ids[other][y[good]]
-            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = arrays(batch)
+            least = least_distance(size[one][x], bins[one][x], size[other][y], bins[other][y])
+            good = least <= allowed(size[one][x], size[other][y])
+            found.append((x[good], y[good], least[good]))
+        if not found:
+            return
+        x, y, least = (np.concatenate(part) for part in zip(*found))
+        if nearest:
+            order = np.lexsort((ids[other][y], least, x))
+            x, y = x[order], y[order]
+            near = np.arange(len(x)) - np.searchsorted(x, x) < nearest
+            x, y = x[near], y[near]
+        a, b = ids[one][x], ids[other][y]
+        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = arrays(batch)
+            if waiting is not None:
+                rows = [np.concatenate(x) for x in zip(waiting, rows)]
+            name, pair = rows[0], rows[1]
+            new = (name[1:] != name[:-1]) | (pair[1:] != pair[:-1])
+            starts = np.flatnonzero(np.concatenate(([True], new)))
+            for s, e in zip(starts[:-1], starts[1:]):
+                yield from compare([x[s:e] for x in rows])
+            waiting = [x[starts[-1] :] for x in rows]
         if waiting is not None:
-            rows = [np.concatenate(x) for x in zip(waiting, rows)]
-        name, pair = rows[0], rows[1]
-        starts = np.flatnonzero(np.concatenate(([True], (name[1:] != name[:-1]) | (pair[1:] != pair[:-1]))))
-        for s, e in zip(starts[:-1], starts[1:]):
-            yield from compare([x[s:e] for x in rows])
-        waiting = [x[starts[-1] :] for x in rows]
-    if waiting is not None:
-        yield from compare(waiting)
+            yield from compare(waiting)
+
+    return run
 
 
-def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame) -> DataFrame:
+def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame, nearest: int = 0) -> DataFrame:
     """Possible pairs of bucket members that are not connected yet."""
     known = nodes.join(member, nodes.doc_id == member.node, "left").select(
         "doc_id", "size", "bins", F.coalesce("component", "doc_id").alias("component")
     )
     of = known.select("doc_id", "component")
+    rows = rows.filter("n > 2").select("doc_id", "name", "n")  # of two, the only pair was aligned
     mixed = (
         rows.join(of, "doc_id")
         .groupBy("name")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-        .filter("low <> high and n > 2")  # of two, the only pair was aligned
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("n").alias("n"))
+        .filter("low <> high")
         .select("name", F.ceil(F.col("n") / BLOCK).cast("long").alias("parts"))
     )
     placed = (
-        rows.join(mixed, "name")
+        rows.select("doc_id", "name")
+        .join(mixed, "name")
         .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         .select(
@@ -374,9 +399,11 @@ def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame) -> DataFrame:
             "doc_id",
         )
     )
-    dealt = placed.join(known, "doc_id").repartition("name", "pair").sortWithinPartitions("name", "pair")
+    # a number is given, so that partitions are not merged by size: few rows are much work here
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.join(known, "doc_id").repartition(tasks, "name", "pair").sortWithinPartitions("name", "pair")
     return dealt.select("name", "pair", "second", "same", "doc_id", "component", "size", "bins").mapInArrow(
-        _unconnected, "a long, b long"
+        _unconnected(nearest), "a long, b long"
     ).distinct()
 
 
@@ -402,20 +429,27 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     nodes = stored(nodes, "nodes")
     rows = nodes.select("doc_id", F.explode("names").alias("name"))
-    smallest = (
-        rows.groupBy("name").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
-    first = rows.join(smallest, "name").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    first = stored(_possible(first, nodes), "first")
-    needed = first.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    links = stored(_verified(first, texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "links")
-    member = stored(components(links.select("a", "b")), "members")
-
-    rest = stored(_rest(rows, nodes, member).join(first, ["a", "b"], "left_anti"), "rest")
-    needed = rest.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    more = stored(_verified(rest, texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "more")
-    if not more.isEmpty():
-        member = stored(components(links.select("a", "b").unionByName(more.select("a", "b"))), "all-members")
+    smallest = rows.groupBy("name").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"))
+    shared = stored(rows.join(smallest.filter("n > 1"), "name"), "shared")
+    first = shared.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    tried = stored(_possible(first, nodes), "first")
+
+    def aligned(pairs: DataFrame, name: str) -> DataFrame:
+        # stored, so that Spark knows its size: few ids are broadcast, and no text is shuffled
+        needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ids")
+        with_text = texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        return stored(_verified(pairs, with_text), name).select("a", "b")
+
+    links = aligned(tried, "links")
+    member = stored(components(links), "members")
+    for nearest, name in ((1, "nearest"), (8, "near"), (0, "rest")):
+        # first what is likely to connect; then, of what is still apart, everything
+        pairs = stored(_rest(shared, nodes, member, nearest).join(tried, ["a", "b"], "left_anti"), name)
+        more = aligned(pairs, f"{name}-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            member = stored(components(links), f"{name}-members")
+        tried = tried.unionByName(pairs)
     groups = classes.join(member, classes.class_id == member.node, "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("group_id")
     )

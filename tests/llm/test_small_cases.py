@@ -457,9 +457,9 @@ def test_unconnected_members_are_compared(spark, monkeypatch):
         data += [(len(data) + j, " ".join(base[: 40 - j])) for j in range(1, 5)]
     nodes = documents(spark, data).select("doc_id", "text")
     sketched = nodes.mapInArrow(near_dedup._describe, near_dedup._SKETCHED)
-    shared = sketched.withColumn("name", F.lit(1).cast("long"))
+    shared = sketched.select("doc_id", F.lit(1).cast("long").alias("name"), F.lit(24).cast("long").alias("n"))
     member = spark.createDataFrame([], "node long, component long")
-    rest = near_dedup._rest(shared.select("doc_id", "name"), sketched, member)
+    rest = near_dedup._rest(shared, sketched, member)
     pairs = {(r.a, r.b) for r in near_dedup._verified(rest, nodes).collect()}
     text = {i: near_dedup.words_of(t) for i, t in data}
     expected = {
