@@ -42,7 +42,7 @@ def without_blanks(text: Column) -> Column:
 
 
 def sha256(content: Column) -> Column:
-    return F.sha2(F.encode(content, "UTF-8"), 256)
+    return F.sha2(content.cast("binary"), 256)
 
 
 def _keyed(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:

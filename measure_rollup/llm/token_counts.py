@@ -123,7 +123,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096)
     rows = docs.select(
         F.col("doc_id").alias("doc_id"),
         F.octet_length(content).cast("long").alias("n_bytes"),
-        F.unhex(F.sha2(F.encode(content, "UTF-8"), 256)).alias("digest"),
+        F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest"),
         content.alias("content"),
     )
     schema = "version string, digest binary, n_tokens long"

@@ -100,7 +100,7 @@ def without_markup(page: Column) -> Column:
 
 def digest(block: Column) -> Column:
     """``sha1:`` and the digest in base 32, by eight digits at a time."""
-    sha = F.sha1(F.encode(block, "UTF-8"))
+    sha = F.sha1(block.cast("binary"))
     parts = (F.lpad(F.conv(F.substring(sha, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31))
     digits, letters = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     return F.concat(F.lit("sha1:"), F.translate(F.concat(*parts), digits, letters))
@@ -109,7 +109,7 @@ def digest(block: Column) -> Column:
 def identifier(*parts: Column) -> Column:
     """A URN that follows from the parts; null parts are empty."""
     key = F.concat_ws("\n", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
-    md5 = F.md5(F.encode(key, "UTF-8"))
+    md5 = F.md5(key.cast("binary"))
     groups = (F.substring(md5, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *groups), F.lit(">"))
 
