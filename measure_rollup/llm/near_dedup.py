@@ -50,7 +50,7 @@ SKETCHES = 32
 FOLDS = 128
 BLOCK = 1_024
 SPAN = 2 * float(np.log(1 / SIMILARITY))  # width of a class of lengths, as a logarithm
-MEMORY = 300_000
+MEMORY = 100_000
 PART = 1 << 16  # k-mers hashed at once
 
 _rng = np.random.default_rng(20)

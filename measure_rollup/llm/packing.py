@@ -37,7 +37,7 @@ WAYS = 32
 SLACK = 20  # tokens a window
 POOL = 256
 END = 1
-MEMORY = 300_000
+MEMORY = 160_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECES + ", sequence_id long, offset long"
