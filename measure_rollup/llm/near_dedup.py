@@ -8,9 +8,10 @@ Sketches: a document's k-mers are runs of ``K`` words, each labelled with the nu
 equal ones before it. Each of ``SKETCHES`` hash functions samples the ``SAMPLED`` smallest
 labelled k-mers, which are kept in the order of the text, so that a sketch agrees where
 both content and order do. A sketch and a class of length (its borders differ from sketch
-to sketch) name a bucket. Texts that share 0.8 of their five-word runs meet in some bucket
-but for one in 10^9 pairs; with edits spread so evenly that only half of the runs are
-shared, but for one in a hundred.
+to sketch) name a bucket. Two texts without a common bucket are not compared. Of 20,000 pairs
+planted at each similarity (15 to 400 words; edits evenly spread, random, insertions, deletions)
+that lost 7 at 0.8 (most of them in texts of 15 words, 5 of 1,000 with random edits), none at
+0.85 and none at 0.9.
 
 Verification: within a bucket every member is first aligned with the bucket's smallest
 member. That leaves pairs of members that are not (yet) connected: they are aligned too, each
@@ -44,14 +45,14 @@ from measure_rollup.llm.components import components
 from measure_rollup.sources import new_folder
 
 SIMILARITY = 0.8
-K = 5
+K = 2
 SAMPLED = 3
-SKETCHES = 32
+SKETCHES = 96
 FOLDS = 128
 BLOCK = 1_024
-SPAN = 2 * float(np.log(1 / SIMILARITY))  # width of a class of lengths, as a logarithm
+SPAN = 4 * float(np.log(1 / SIMILARITY))  # width of a class of lengths, as a logarithm
 MEMORY = 100_000
-PART = 1 << 16  # k-mers hashed at once
+PART = 1 << 14  # k-mers hashed at once
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)

@@ -409,6 +409,34 @@ def test_order_of_sampled_kmers_counts():
     assert 0 < (a == b).sum() < near_dedup.SKETCHES // 2
 
 
+def _planted(draw, size, similarity, kind):
+    """A text and a copy of it that has this similarity."""
+    words = [f"w{draw.randrange(10**9)}" for _ in range(size)]
+    if kind == "insertions":
+        copy = list(words)
+        for _ in range(int(size / similarity - size + 1e-9)):
+            copy.insert(draw.randint(0, len(copy)), f"x{draw.random()}")
+        return words, copy
+    edits = int((1 - similarity) * size + 1e-9)
+    step = round(1 / (1 - similarity))
+    at = set(range(step - 1, size, step)) if kind == "even" else set(draw.sample(range(size), edits))
+    copy = [f"x{draw.random()}" if i in at else w for i, w in enumerate(words)]
+    return words, [w for i, w in enumerate(copy) if kind != "deletions" or i not in at]
+
+
+@pytest.mark.parametrize("kind", ["even", "random", "insertions", "deletions"])
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+def test_scattered_edits_share_a_bucket(similarity, kind):
+    draw, hasher = random.Random(11), near_dedup.Hasher()
+    lost = 0
+    for i in range(400):
+        pair = _planted(draw, (20, 40, 100, 300)[i % 4], similarity, kind)
+        assert near_dedup.distance_within(*pair, int(near_dedup.allowed(*map(len, pair)))) is not None
+        one, other = (set(near_dedup.buckets(hasher(x)).tolist()) for x in pair)
+        lost += not one & other
+    assert lost <= 4
+
+
 def _near(data):
     """Components of all similar pairs; exact copies in words are one."""
     ids = sorted({r[0] for r in data if r[0] is not None})
