@@ -10,9 +10,13 @@ labelled k-mers, which are kept in the order of the text, so that a sketch agree
 both content and order do. A sketch and a class of length (its borders differ from sketch
 to sketch) name a bucket. Two texts without a common bucket are not compared. Of 20,000 pairs
 planted at each similarity (15 to 400 words; edits evenly spread, random, insertions, deletions)
-that lost 7 at 0.8 (most of them in texts of 15 words, 5 of 1,000 with random edits), none at
+7 are lost at 0.8 (most of them in texts of 15 words, 5 of 1,000 with random edits), none at
 0.85 and none at 0.9.
 
+Short texts: each text of at most ``SHORT`` words also has a bucket for each text that is left of
+it without as many words as its length allows as distance, or fewer (at most 106 of them). Similar
+texts have such a rest in common, so no similar pair of short texts is lost.
+
 Verification: within a bucket every member is first aligned with the bucket's smallest
 member. That leaves pairs of members that are not (yet) connected: they are aligned too, each
 member with those likely nearest to it first and then, of what is still apart, all pairs, block
@@ -24,7 +28,8 @@ No bucket is collected whole: minima are combined before the shuffle, and a buck
 many unconnected members is compared in pairs of blocks of at most ``BLOCK``.
 
 Defined cases: null and empty texts have no words; they are one class of exact copies.
-Texts of less than ``K`` words have one k-mer of all their words, so only copies match.
+Texts of less than five words match their copies only, and one of four its like of five words: a
+word is more than 0.2 of them.
 Rows without an id are in no group but that of their copies, and are never dropped. Rows
 repeated with the same id count once; if an id comes with several texts, one of them
 stands for it. Empty tables give empty results. Other columns are not read.
@@ -32,8 +37,10 @@ stands for it. Empty tables give empty results. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +57,8 @@ SAMPLED = 3
 SKETCHES = 96
 FOLDS = 128
 BLOCK = 1_024
+SHORT = 14  # words of a text for which all rests are named; from 15 on there are 576 and more
+LEAST = 12  # words of the shortest text that is similar to one of more than SHORT words
 SPAN = 4 * float(np.log(1 / SIMILARITY))  # width of a class of lengths, as a logarithm
 MEMORY = 100_000
 PART = 1 << 14  # k-mers hashed at once
@@ -59,6 +68,7 @@ _FACTORS = _rng.integers(1, 1 << 63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 _SEEDS = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)
 _PLACES = _rng.integers(1, 1 << 63, K + SAMPLED, dtype=np.uint64) | np.uint64(1)
 _SHIFTS = np.arange(SKETCHES) / SKETCHES
+_SPOTS = _rng.integers(1, 1 << 63, SHORT, dtype=np.uint64) | np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
@@ -108,13 +118,38 @@ def sketches(kmers: np.ndarray) -> np.ndarray:
     return total
 
 
+@functools.cache
+def _rests(size: int) -> list[np.ndarray]:
+    """Places of the words that stay when up to the allowed number of ``size`` words is left out."""
+    most = int(allowed(size, size))
+    return [np.array(list(combinations(range(size), size - out)), np.int64) for out in range(most + 1)]
+
+
+def rests(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of what is left of a short text without some words, each once.
+
+    Of two texts at a distance, a common rest is left of each when it loses the words that the
+    alignment changes or takes away: of the longer at most the distance, which its length allows,
+    of the shorter as many less as it is shorter, at most what its own length allows.
+    """
+    spread = _mix(hashes)
+    found = [
+        _mix((spread[places] * _SPOTS[: places.shape[1]]).sum(axis=1, dtype=np.uint64) + np.uint64(places.shape[1]))
+        for places in _rests(len(hashes))
+    ]
+    return np.unique(np.concatenate(found))
+
+
 def buckets(hashes: np.ndarray) -> np.ndarray:
     """Names of the buckets of a text with these words' hashes; none without words."""
     if not len(hashes):
         return np.zeros(0, np.int64)
+    short = rests(hashes).view(np.int64) if len(hashes) <= SHORT else np.zeros(0, np.int64)
+    if len(hashes) < LEAST:  # what is similar to it is short, too
+        return short
     sizes = np.floor(np.log(len(hashes)) / SPAN + _SHIFTS).astype(np.uint64)
     names = sketches(labelled_kmers(hashes)) ^ _mix(_SEEDS + sizes)
-    return _mix(names).view(np.int64)
+    return np.concatenate((short, _mix(names).view(np.int64)))
 
 
 class Hasher:

@@ -437,6 +437,43 @@ def test_scattered_edits_share_a_bucket(similarity, kind):
     assert lost <= 4
 
 
+def test_similar_short_texts_share_a_bucket():
+    draw, hasher = random.Random(12), near_dedup.Hasher()
+    similar = 0
+    for _ in range(20_000):
+        size = draw.choice([3, 9, 10**6])
+        one = [f"w{draw.randrange(size)}" for _ in range(draw.randint(1, near_dedup.SHORT))]
+        other = list(one)
+        for _ in range(draw.randint(1, 3)):
+            at = draw.randint(0, len(other))
+            other[at : at + draw.randint(0, 1)] = [f"w{draw.randrange(size)}"] * draw.randint(0, 1)
+        if one == other or not 0 < len(other) <= near_dedup.SHORT:
+            continue
+        if near_dedup.distance_within(one, other, int(near_dedup.allowed(len(one), len(other)))) is not None:
+            similar += 1
+            assert set(near_dedup.buckets(hasher(one)).tolist()) & set(near_dedup.buckets(hasher(other)).tolist())
+    assert similar > 4000
+
+
+def test_short_near_groups_equal_brute_force(spark):
+    texts = ["a b c d e", "a b c d e f", "g h i j k l", "g h i j k l m", "n o p q", "n o p q r", "s t u v", "s t u w"]
+    base = [f"x{i}" for i in range(9)]
+    texts += [" ".join(base), " ".join([*base[:4], "y", *base[5:]])]
+    draw = random.Random(14)
+    for group in range(25):
+        words = [f"g{group}w{draw.randrange(20)}" for _ in range(draw.randint(4, 17))]
+        texts.append(" ".join(words))
+        for _ in range(3):
+            copy = list(words)
+            for _ in range(draw.randint(1, 3)):
+                at = draw.randrange(len(copy))
+                copy[at : at + draw.randint(0, 1)] = ["z"] * draw.randint(0, 1)
+            texts.append(" ".join(copy))
+    data = list(enumerate(texts))
+    found = {r.doc_id: r.group_id for r in near_dedup.near_groups(documents(spark, data)).collect()}
+    assert found == _near(data)
+
+
 def _near(data):
     """Components of all similar pairs; exact copies in words are one."""
     ids = sorted({r[0] for r in data if r[0] is not None})
