@@ -5,6 +5,8 @@ among embeddings of its character n-grams (both by hash bucket). The network rea
 window of ``WINDOW`` words in both directions, weighs the states by attention and gives
 the window a logit. Windows overlap by half and cover the text, its last words included.
 A document's score is that of its worst window, calibrated on the training documents.
+A run of more than ``LONG`` word characters (texts without spaces, words joined by
+underscores) is read whole, as half-overlapping pieces of ``PIECE`` that each count as a word.
 
 Training knows the documents' labels only. It takes at most ``rows`` documents of each
 label and at most ``length`` characters long (only in training; scoring reads whole
@@ -38,6 +40,7 @@ from measure_rollup.llm.samples import held_out, sample
 
 WINDOW = 24
 STRIDE = WINDOW // 2
+LONG, PIECE = 64, 16  # characters: of the longest run that is one word; of the pieces of a longer one
 WORDS, GRAMS = 1 << 16, 1 << 17  # hash buckets
 WORD_DIM, GRAM_DIM, HIDDEN = 6, 10, 8
 INPUT = WORD_DIM + GRAM_DIM
@@ -62,12 +65,23 @@ class Network(NamedTuple):
 
 
 def words_of(text: str) -> list[str]:
-    return _words(text.lower())
+    found = _words(text.lower())
+    if max(map(len, found), default=0) <= LONG:
+        return found
+    return [piece for word in found for piece in pieces(word)]
+
+
+def pieces(word: str) -> list[str]:
+    """A run of more than ``LONG`` characters as half-overlapping pieces; the last one ends with the run."""
+    if len(word) <= LONG:
+        return [word]
+    starts = [*range(0, len(word) - PIECE, PIECE // 2), len(word) - PIECE]
+    return [word[start : start + PIECE] for start in starts]
 
 
 def gram_buckets(word: str) -> list[int]:
     """Buckets of the word's character n-grams of three and four, its borders included."""
-    marked = f"<{word[:64]}>"
+    marked = f"<{word}>"
     found = [marked[i : i + n] for n in (3, 4) for i in range(len(marked) - n + 1)] or [marked]
     return [zlib.crc32(gram.encode("utf-8", "replace")) % GRAMS for gram in found]
 

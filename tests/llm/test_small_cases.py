@@ -359,6 +359,24 @@ def test_scorer_is_the_same_in_any_grouping():
     assert np.allclose(whole, alone, atol=1e-5)
 
 
+def test_long_runs_are_read_whole():
+    draw = random.Random(15)
+    for size in (1, 63, 64, 65, 96, 97, 128, 1000):
+        run = "".join(draw.choice("abcdefgh") for _ in range(size))
+        found = toxicity.words_of(run)
+        assert all(len(x) <= 64 for x in found) and len(found) <= size // 8 + 1
+        of = {run[i : i + n] for n in (3, 4) for i in range(size - n + 1)}
+        assert of == {x[i : i + n] for x in found for n in (3, 4) for i in range(len(x) - n + 1)}
+    some = lambda n: [draw.choice(["lamp", "river", "stone", "garden", "cloud", "paper"]) for _ in range(n)]
+    texts = [" ".join(some(20) + ["idiot"] * (i % 2) + some(20)) for i in range(80)]
+    scorer = toxicity.Scorer(toxicity.train(texts, np.arange(80) % 2))
+    for at in (30, 45, 60):
+        words = some(60)
+        toxic = [*words[:at], "idiot", *words[at:]]
+        low, high = scorer.scores(["_".join(words), "_".join(toxic)])
+        assert low < 0.5 < high
+
+
 # near duplicates
 
 
