@@ -25,19 +25,20 @@ Joins by window and by pair send what makes up ``1 / SHARE`` of all rows or more
 Defined cases: texts that are null, empty, damaged UTF-8, or that one of the tokenizers does
 not give back, have no tokens: zeros, and an empty string for the digest. Null ids pass
 through, and repeated rows are rows of their own. Texts of any length are one window if they
-have no anchor; windows longer than ``LONG`` ids are not kept. Empty tables give empty
+have no anchor; segments longer than ``LONG`` are not kept for long. Empty tables give empty
 results. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import struct
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,15 +48,19 @@ from pyspark.sql import functions as F
 
 from measure_rollup.sources import new_folder
 
-MEMORY = 100_000
-LONG = 64
-CHARACTERS = 500_000  # that are encoded at once, unless a single text has more
-TEXTS = 256
-CHUNK_TEXTS = 2_048
-CHUNK_WINDOWS = 32_768
+MEMORY = 400_000  # segments a task knows
+LONG = 64  # characters
+CHARACTERS = 1_000_000  # that are encoded at once, unless a single text has more
+TEXTS = 512
+CHUNK_TEXTS = 16_384
+CHUNK_WINDOWS = 262_144
 SHARE = 10_000
 
 _SPACE = 0x20
+#: White space of any library, and what might be taken for it, never ends a segment.
+_BORDER = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0\u180e\u200b-\u200f\u2028-\u202f\u2060-\u2064\ufeff])(?= )").split
+#: Printable ASCII and the Latin letters from U+00C0 to U+017F.
+_PLAIN = re.compile("[ -~À-ÖØ-öø-ſ]+").fullmatch
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>").fullmatch
 _TEXTS = (
     "chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
@@ -78,7 +83,7 @@ _RESULT = (
 )
 _PAIRS: dict[tuple[str, str], "Pair"] = {}
 
-Window = tuple[bytes, bytes]  # ids of A and of B, little-endian
+Window = tuple[Sequence[int], Sequence[int]]  # ids of A and of B
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,8 +97,20 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + n): b for n, b in enumerate(other)}
 
 
+#: What is known of a segment: its windows, packed; numbers of A and B tokens; the text of its
+#: groups; numbers of groups and links. None if its tokens do not give it back.
+Entry = tuple[tuple[bytes, ...], int, int, str, int, int] | None
+
+
 class Pair:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, the bytes of their tokens, and the segments known so far.
+
+    Texts are encoded by segment where that gives what encoding them whole gives: A's pattern
+    never joins what is no white space to a space after it, and no piece of B holds the mark of
+    a space behind another character. ``Pair`` checks both files for this. A segment ends
+    where a character that is no white space, of whatever library, is followed by a space;
+    its end is then an anchor, and a text's windows are those of its segments.
+    """
 
     def __init__(self, byte_level: str, pieces: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -104,48 +121,124 @@ class Pair:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
-        if hasattr(self.a.model, "_resize_cache"):
-            self.a.model._resize_cache(MEMORY)
         self.b = SentencePieceProcessor(model_file=pieces)
         letters = byte_letters()
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.a_bytes = [
             bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode()
             for t in (self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size()))
         ]
-        self.b_bytes = [_piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.a_lengths, self.b_lengths = ([len(t) for t in tokens] for tokens in (self.a_bytes, self.b_bytes))
-        self.a_sizes, self.b_sizes = np.array(self.a_lengths), np.array(self.b_lengths)
+        self.b_bytes = [_piece_bytes(name) for name in names]
+        self.a_sizes, self.b_sizes = ([len(t) for t in tokens] for tokens in (self.a_bytes, self.b_bytes))
         self.size, self.code = (2, "H") if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else (4, "I")
+        self.lone_space = [i for i, t in enumerate(self.b_bytes) if t == b" "][:1]
+        self.splits = (
+            _by_pattern(json.loads(self.a.to_str()))
+            and self.b.normalize(" \ufb01  A\u030a ") == "▁▁\ufb01▁▁A\u030a▁"
+            and not any("▁" in name.lstrip("▁") for name in names)
+            and len(self.lone_space) == 1
+        )
+        self.quick = _by_rank(json.loads(self.a.to_str()), letters)
+        self.known: dict[str, Entry] = {}
+
+    def segments(self, text: str) -> list[str]:
+        """Pieces of a space and the text, each beginning with a space."""
+        return _BORDER(" " + text) if self.splits and "▁" not in text else [" " + text]
+
+    def learn(self, segments: Iterable[str]) -> None:
+        """Make all of these known."""
+        missing = [s for s in segments if s not in self.known]
+        if len(self.known) + len(missing) > MEMORY:
+            self.known.clear()
+            missing = list(segments)
+        simple = [s for s in missing if " " not in s[1:]]
+        for some in (simple, [s for s in missing if " " in s[1:]]):
+            if some:
+                b = [ids or self.lone_space for ids in self.b.encode([s[1:] for s in some], num_threads=1)]
+                self.known.update(zip(some, self._entries(some, self._encode_a(some), b, some is simple)))
+
+    def _encode_a(self, segments: list[str]) -> list[list[int]]:
+        """By the same merges in tiktoken, where no library can take a character for another class."""
+        if self.quick is None:
+            return [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
+        quick = self.quick.encode_ordinary
+        ids = [quick(s) if _PLAIN(s) else None for s in segments]
+        other = [n for n, found in enumerate(ids) if found is None]
+        for n, e in zip(other, self.a.encode_batch_fast([segments[n] for n in other], add_special_tokens=False)):
+            ids[n] = e.ids
+        return ids
+
+    def _entries(self, segments: list[str], a: list[list[int]], b: list[list[int]], simple: bool) -> list[Entry]:
+        """All at once if they are single windows and their tokens give them back."""
+        datas = [s.encode() for s in segments]
+        flat_a, flat_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        whole = b"".join(datas)
+        if (
+            not simple
+            or b"".join(map(self.a_bytes.__getitem__, flat_a)) != whole
+            or b"".join(map(self.b_bytes.__getitem__, flat_b)) != whole
+        ):
+            return list(map(self._entry, datas, a, b))
+        is_end = np.zeros(len(whole) + 1, bool)
+        is_end[np.cumsum(np.array(self.b_sizes)[flat_b])] = True
+        shared = np.concatenate(([0], np.cumsum(is_end[np.cumsum(np.array(self.a_sizes)[flat_a])])))
+        ends = np.cumsum(list(map(len, a)))
+        # where the border of two segments is inside a token, tokens and texts only agree as a whole
+        borders = np.cumsum(list(map(len, datas)))
+        if not (np.cumsum(np.array(self.a_sizes)[flat_a])[ends - 1] == borders).all() or not is_end[borders].all():
+            return list(map(self._entry, datas, a, b))
+        n_groups = np.diff(shared[ends], prepend=0).tolist()
+        return [
+            (
+                (self.pack(x, y),),
+                len(x),
+                len(y),
+                ";".join(map("%d|%d".__mod__, zip(x, y))) if n == len(x) == len(y) else self.describe(x, y)[0],
+                n,
+                len(x) + len(y) - n,
+            )
+            for x, y, n in zip(a, b, n_groups)
+        ]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return zip((e.ids for e in a), self.b.encode(texts, num_threads=1))
-
-    def windows(self, text: str, a: list[int], b: list[int]) -> list[Window] | None:
-        """The ids between anchors, or None if the tokens do not give the text back."""
-        data = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+    def _entry(self, data: bytes, a: list[int], b: list[int]) -> Entry:
+        if (
+            b"".join(map(self.a_bytes.__getitem__, a)) != data
+            or b"".join(map(self.b_bytes.__getitem__, b)) != data
+        ):
             return None
-        ids_a, ids_b = np.array(a, f"<u{self.size}"), np.array(b, f"<u{self.size}")
-        ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
-        is_end = np.zeros(len(data) + 1, bool)
-        is_end[ends_a] = True
-        shared = ends_b[is_end[ends_b]][:-1]  # but for the end of the text
-        anchors = shared[np.frombuffer(data, np.uint8)[shared] == _SPACE]
-        cuts_a = (self.size * np.searchsorted(ends_a, anchors, side="right")).tolist()
-        cuts_b = (self.size * np.searchsorted(ends_b, anchors, side="right")).tolist()
-        all_a, all_b = ids_a.tobytes(), ids_b.tobytes()
-        return [
-            (all_a[i:j], all_b[k:m])
-            for i, j, k, m in zip([0, *cuts_a], [*cuts_a, len(all_a)], [0, *cuts_b], [*cuts_b, len(all_b)])
+        windows = self.cut(data, a, b)
+        texts, n_groups, n_links = zip(*(self.describe(*window) for window in windows))
+        packed = tuple([self.pack(*window) for window in windows])
+        return packed, len(a), len(b), ";".join(texts), sum(n_groups), sum(n_links)
+
+    def describe(self, a: list[int], b: list[int]) -> tuple[str, int, int]:
+        """The text of a window's groups, and the numbers of groups and links."""
+        ends_a = accumulate(map(self.a_sizes.__getitem__, a))
+        ends_b = accumulate(map(self.b_sizes.__getitem__, b))
+        place = {end: n for n, end in enumerate(ends_a, 1)}
+        groups, i, k = [], 0, 0
+        for m, end in enumerate(ends_b, 1):
+            if end in place:
+                j = place[end]
+                groups.append(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])))
+                i, k = j, m
+        # every token end of either but the shared ones begins one more link
+        return ";".join(groups), len(groups), len(a) + len(b) - len(groups)
+
+    def cut(self, data: bytes, a: list[int], b: list[int]) -> list[Window]:
+        """The ids between anchors."""
+        ends_a, ends_b = (list(accumulate([sizes[i] for i in ids])) for sizes, ids in ((self.a_sizes, a), (self.b_sizes, b)))
+        place = {end: n for n, end in enumerate(ends_a, 1)}
+        cuts = [
+            (place[end], n) for n, end in enumerate(ends_b, 1) if end in place and end < len(data) and data[end] == _SPACE
         ]
+        return [(a[i:j], b[k:m]) for (i, k), (j, m) in zip([(0, 0), *cuts], [*cuts, (len(a), len(b))])]
 
-    def align(self, window: Window) -> tuple[list[tuple[int, int]], list[tuple[tuple, tuple]]]:
-        """The window's links and groups, in order."""
-        a, b = map(self.ids, window)
-        size_a, size_b = self.a_lengths, self.b_lengths
-        links, groups = [], []
-        i = j = first_a = first_b = 0
+    def links(self, a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
+        """A window's pairs of tokens that overlap, in order."""
+        size_a, size_b = self.a_sizes, self.b_sizes
+        links = []
+        i = j = 0
         end_a, end_b = size_a[a[0]], size_b[b[0]]
         while True:
             links.append((a[i], b[j]))
@@ -156,22 +249,41 @@ class Pair:
                 j += 1
                 end_b += size_b[b[j]]
             else:
-                i, j = i + 1, j + 1
-                groups.append((a[first_a:i], b[first_b:j]))
+                i += 1
+                j += 1
                 if i == len(a):
-                    return links, groups
-                first_a, first_b = i, j
+                    return links
                 end_a += size_a[a[i]]
                 end_b += size_b[b[j]]
 
-    def describe(self, window: Window) -> tuple[str, int, int]:
-        """The text of the window's groups, and the numbers of groups and links."""
-        links, groups = self.align(window)
-        text = ";".join([",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups])
-        return text, len(groups), len(links)
+    def pack(self, a: Sequence[int], b: Sequence[int]) -> bytes:
+        return struct.pack(f"<I{len(a) + len(b)}{self.code}", len(a), *a, *b)
 
-    def ids(self, packed: bytes) -> tuple[int, ...]:
-        return struct.unpack(f"<{len(packed) // self.size}{self.code}", packed)
+    def unpack(self, packed: bytes) -> Window:
+        count, *ids = struct.unpack(f"<I{(len(packed) - 4) // self.size}{self.code}", packed)
+        return ids[:count], ids[count:]
+
+
+def _by_rank(tokenizer: dict, letters: dict[str, int]):
+    """The same merges in tiktoken, which is faster; None if ids are not in the order of merges."""
+    import public_tokenizers
+    import tiktoken
+
+    vocabulary, merges = tokenizer["model"].get("vocab", {}), tokenizer["model"].get("merges", [])
+    made = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
+    base = [vocabulary.get(letter) for letter in letters]
+    if not _by_pattern(tokenizer) or sorted(b for b in base if b is not None) != list(range(256)):
+        return None
+    if [vocabulary.get(t) for t in made] != list(range(256, 256 + len(made))):
+        return None
+    ranks = {bytes(map(letters.__getitem__, t)): vocabulary[t] for t in (*letters, *made)}
+    return tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def _by_pattern(tokenizer: dict) -> bool:
+    """Whether a tokenizer's file cuts texts by the byte-level pattern and changes nothing before."""
+    before = tokenizer.get("pre_tokenizer") or {}
+    return tokenizer.get("normalizer") is None and before.get("type") == "ByteLevel" and bool(before.get("use_regex"))
 
 
 def _piece_bytes(piece: str) -> bytes:
@@ -186,25 +298,16 @@ def pair(byte_level: str, pieces: str) -> Pair:
     return _PAIRS[byte_level, pieces]
 
 
-def pack(window: Window) -> bytes:
-    return struct.pack("<I", len(window[0])) + window[0] + window[1]
-
-
-def unpack(packed: bytes) -> Window:
-    end = 4 + struct.unpack_from("<I", packed)[0]
-    return packed[4:end], packed[end:]
-
-
 class _Chunk:
     """Texts and their distinct windows, until there are enough for a batch."""
 
     def __init__(self, number: int):
         self.number = number
         self.rows: list[tuple] = []
-        self.places: dict[Window, int] = {}
+        self.places: dict[bytes, int] = {}
         self.numbers: list[int] = []
 
-    def add(self, doc_id, described: tuple, held: Counter) -> None:
+    def add(self, doc_id, described: tuple, held: dict[bytes, int]) -> None:
         places = []
         for window, times in held.items():
             place = self.places.setdefault(window, len(self.numbers))
@@ -225,7 +328,7 @@ class _Chunk:
         columns = [
             [self.number] * len(self.rows),
             *columns,
-            [[pack(w) for w in self.places], *none],
+            [list(self.places), *none],
             [self.numbers, *none],
         ]
         return pa.RecordBatch.from_arrays(
@@ -251,39 +354,32 @@ def _some(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
 def _tokenised(byte_level: str, pieces: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(byte_level, pieces)
-        known: dict[Window, tuple[str, int, int]] = {}
-        long = LONG * both.size
+        known = both.known
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
-        for rows in _some(batches):
-            texts = [t for _, t in rows if t]
-            ids = both.encode(texts) if texts else iter(())
-            for doc_id, text in rows:
-                a, b = next(ids) if text else ((), ())
-                windows = both.windows(text, a, b) if text else None
-                if windows is None:
-                    chunk.add(doc_id, (0, 0, 0, 0, ""), Counter())
-                else:
-                    held = Counter(windows)
-                    for window in [w for w in held if w not in known]:
-                        if len(known) >= MEMORY:
-                            for old in list(islice(known, MEMORY // 2)):
-                                if old not in held:
-                                    del known[old]
-                        known[window] = both.describe(window)
-                    described = [known[w] for w in windows]
-                    groups = ";".join([d[0] for d in described])
-                    sums = (sum(d[1] for d in described), sum(d[2] for d in described))
-                    digest = hashlib.sha256(groups.encode()).hexdigest()
-                    chunk.add(doc_id, (len(a), len(b), *sums, digest), held)
-                    for window in [w for w in held if len(w[0]) + len(w[1]) > long]:
-                        del known[window]
-                if chunk.full:
-                    yield chunk.batch()
-                    number += 1
-                    chunk = _Chunk(number)
-        if chunk.rows:
-            yield chunk.batch()
+        try:
+            for rows in _some(batches):
+                cut = [both.segments(text) if text else [] for _, text in rows]
+                both.learn({segment for segments in cut for segment in segments})
+                for (doc_id, _), segments in zip(rows, cut):
+                    entries = list(map(known.__getitem__, segments))
+                    if not entries or None in entries:
+                        chunk.add(doc_id, (0, 0, 0, 0, ""), {})
+                    else:
+                        windows, n_a, n_b, groups, n_groups, n_links = zip(*entries)
+                        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+                        sums = (sum(n_a), sum(n_b), sum(n_groups), sum(n_links))
+                        chunk.add(doc_id, (*sums, digest), Counter(chain.from_iterable(windows)))
+                    if chunk.full:
+                        yield chunk.batch()
+                        number += 1
+                        chunk = _Chunk(number)
+                for segment in [s for s in known if len(s) > LONG] if len(known) > MEMORY // 2 else ():
+                    del known[segment]
+            if chunk.rows:
+                yield chunk.batch()
+        finally:
+            known.clear()  # the worker may outlive the stage
 
     return run
 
@@ -292,15 +388,16 @@ def _links(byte_level: str, pieces: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(byte_level, pieces)
         for batch in batches:
-            rows = [
-                (packed, a, b, times, n)
-                for packed, n in zip(batch["window"].to_pylist(), batch["n"].to_pylist())
-                for (a, b), times in Counter(both.align(unpack(packed))[0]).items()
-            ]
-            columns = list(zip(*rows)) or [()] * 5
-            types = (pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            found: list[tuple[int, int]] = []
+            sizes = []
+            for packed in batch["window"].to_pylist():
+                links = both.links(*both.unpack(packed))
+                found += links
+                sizes.append(len(links))
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            columns = [np.repeat(batch[c].to_numpy(), sizes) for c in ("id", "n")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["window", "a", "b", "times", "n"]
+                [pa.array(c) for c in (columns[0], pairs[:, 0] << 32 | pairs[:, 1], columns[1])], names=["id", "link", "n"]
             )
 
     return run
@@ -323,7 +420,7 @@ def _summed(texts: pa.Table, sums: pa.Table) -> pa.Table:
     return pa.table({**kept, **total, "groups_sha256": texts["groups_sha256"]})
 
 
-def _joined(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+def _joined(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
     """Inner join with ``table``, whose column ``held`` has the number of ``rows`` of a key.
 
     The numbers add up to ``total``, so at most ``SHARE`` keys are sent to all tasks.
@@ -331,8 +428,8 @@ def _joined(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> D
     is_hot = F.col("held") * SHARE >= total
     hot = F.broadcast(table.filter(is_hot).drop("held"))
     rest = table.filter(~is_hot).drop("held")
-    cold = rows.join(F.broadcast(table.filter(is_hot).select(*keys)), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(cold.join(rest, keys))
+    cold = rows.join(F.broadcast(table.filter(is_hot).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(cold.join(rest, key))
 
 
 def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
@@ -355,34 +452,28 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     held = texts.select(
         "chunk", F.posexplode(F.arrays_zip("windows", "numbers")).alias("place", "w")
     ).select("chunk", "place", F.col("w.windows").alias("window"), F.col("w.numbers").alias("number"))
-    distinct = stored(
-        held.groupBy("window").agg(F.sum("number").alias("n"), F.count("*").alias("held")), "windows"
-    )
+    windows = held.groupBy("window").agg(F.sum("number").alias("n"), F.count("*").alias("held"))
+    # stored, so that the numbers given here stay
+    windows = stored(windows.withColumn("id", F.monotonically_increasing_id()), "windows")
     links = stored(
-        distinct.select("window", "n").mapInArrow(
-            _links(byte_level, pieces), "window binary, a int, b int, times long, n long"
-        ),
-        "links",
+        windows.select("id", "window", "n").mapInArrow(_links(byte_level, pieces), "id long, link long, n long"), "links"
     )
-    counts = links.groupBy("a", "b").agg(
-        F.sum(F.col("times") * F.col("n")).alias("count"), F.count("*").alias("held")
+    counts = stored(links.groupBy("link").agg(F.sum("n").alias("count"), F.count("*").alias("held")), "counts")
+    b = F.col("link").bitwiseAND(0xFFFFFFFF).alias("b")
+    highest = counts.groupBy(b).agg(F.max("count").alias("highest"))
+    counts = counts.withColumn("b", b).join(highest, "b").select(
+        "link", "count", (F.col("count") == F.col("highest")).cast("long").alias("best"), "held"
     )
-    counts = stored(counts, "counts")
-    highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
-    counts = counts.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).alias("best"), "held")
-    n_links = links.count()
-    per_window = (
-        _joined(links.select("window", "a", "b", "times"), counts, ["a", "b"], n_links)
-        .groupBy("window")
-        .agg(
-            F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
-            F.sum(F.col("times") * F.col("count")).alias("count_sum"),
-        )
-        .join(distinct.select("window", "held"), "window")
+    per_id = (
+        _joined(links.select("id", "link"), counts, "link", links.count())
+        .groupBy("id")
+        .agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
+    )
+    per_window = stored(
+        windows.select("id", "window", "held").join(per_id, "id").select("window", "n_best", "count_sum", "held"), "sums"
     )
-    per_window = stored(per_window, "sums")
-    n_held = distinct.agg(F.sum("held")).first()[0] or 0
-    sums = _joined(held.select("chunk", "place", "window"), per_window, ["window"], n_held)
+    n_held = windows.agg(F.sum("held")).first()[0] or 0
+    sums = _joined(held.select("chunk", "place", "window"), per_window, "window", n_held)
     left = spark.read.schema(_TEXTS).parquet(f"{path}/texts").drop("windows", "numbers")
     return (
         left.groupBy("chunk")
