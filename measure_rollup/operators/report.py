@@ -6,11 +6,15 @@ name, for any number of names, and ``report_line``, a single string.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measure_rollup.functions import f32_mean, f32_text, f32_units, mean_tenths, tenths_text
 from measure_rollup.operators.ordering import by_name, numbered
+from measure_rollup.sources.joined import join_files, part_files
+from measure_rollup.sources.shared import files_of
 
 
 def entries(summary: DataFrame, render: str = "exact") -> DataFrame:
@@ -63,10 +67,31 @@ def report_parts(summary: DataFrame, render: str = "exact") -> DataFrame:
     return parts.unionByName(empty.select(F.lit(0).cast("bigint").alias("part"), F.lit("{}").alias("report")))
 
 
-def write_report(summary: DataFrame, path: str, render: str = "exact") -> None:
-    """Write the report as text: its parts, one per line, in order over the files."""
-    parts = report_parts(summary, render)
-    parts.orderBy("part").select("report").write.option("lineSep", "\n").text(path)
+def write_report(summary: DataFrame, path: str, render: str = "exact", join: bool = True) -> None:
+    """Write the report as one line, in one file whose bytes are those of :func:`report_line`.
+
+    The entries are sorted in ranges and written by as many tasks, each with ``, `` behind it;
+    the last one, with the closing brace behind it, is a file of its own. The files are then
+    joined in order: by the file system where it can link files to one (HDFS), else by copying
+    their bytes through a buffer, as such a store takes a file from one writer. No task and
+    no memory holds the line. With ``join=False`` the files stay apart, in the folder ``path``; their
+    bytes, in the order of their names, are the report.
+    """
+    spark = summary.sparkSession
+    folder = path if not join else f"{path}.{uuid.uuid4().hex}.parts"
+    rows = numbered(entries(summary, render))
+    opening = F.when(F.col("pos") == 1, F.lit("{")).otherwise(F.lit(""))
+    line = F.concat(opening, F.col("entry")).alias("value")
+    # rows are in the order of their positions, within and across the partitions
+    rows.where(F.col("pos") < F.col("total")).select(line).write.option("lineSep", ", ").text(f"{folder}/0-entries")
+    last = rows.where(F.col("pos") == F.col("total")).select(line)
+    empty = rows.agg(F.count("*").alias("n")).where(F.col("n") == 0).select(F.lit("{").alias("value"))
+    last.unionByName(empty).coalesce(1).write.option("lineSep", "}").text(f"{folder}/1-last")
+    if join:
+        parts = [file for part in ("0-entries", "1-last") for file in part_files(spark, f"{folder}/{part}")]
+        join_files(spark, parts, path)
+        of, system = files_of(spark, folder)
+        system.delete(of(folder), True)
 
 
 def write_entries(summary: DataFrame, path: str, render: str = "exact") -> None:

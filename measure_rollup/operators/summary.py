@@ -17,6 +17,12 @@ from measure_rollup.functions import mean_units, units
 
 STATE = ("min_t", "max_t", "sum_t", "cnt")
 
+#: Columns of a stored summary, in tenths or of exact floats.
+SCHEMAS = {
+    "tenths": "name string, min_t bigint, max_t bigint, sum_t bigint, cnt bigint",
+    "exact": "name string, scale int, min_f float, max_f float, high bigint, low bigint, cnt bigint",
+}
+
 
 def summarize(records: DataFrame, key: str = "name", value: str = "t") -> DataFrame:
     """Records to one summary row per name. Null values do not count."""
@@ -35,7 +41,7 @@ def merge_summaries(*summaries: DataFrame) -> DataFrame:
     return together.groupBy("name").agg(
         F.min("min_t").alias("min_t"),
         F.max("max_t").alias("max_t"),
-        _exact_sum("sum_t").alias("sum_t"),
+        exact_sum("sum_t").alias("sum_t"),
         F.sum("cnt").alias("cnt"),
     )
 
@@ -55,7 +61,7 @@ def summarize_float(records: DataFrame, key: str = "name", value: str = "t") ->
     """Records with 32-bit floats to ``(name, min, mean, max, cnt)``.
 
     The mean is accumulated in double. Its last bits depend on the order of addition;
-    use tenths where that matters.
+    where that matters use tenths, or ``float_state``, whose sums are exact.
     """
     t = F.col("t")
     return (
@@ -86,13 +92,15 @@ def write_summary(summary: DataFrame, path: str, part: str = "part") -> None:
     )
 
 
-def read_summaries(spark: SparkSession, path: str, part: str = "part", part_type: str = "string") -> DataFrame:
+def read_summaries(
+    spark: SparkSession, path: str, part: str = "part", part_type: str = "string", number: str = "tenths"
+) -> DataFrame:
     """All parts of a stored summary table, which may have no rows.
 
-    The part comes back as ``part_type``: as text it is what was written, ``007`` included.
+    ``number`` is ``tenths``, or ``exact`` for float states. The part comes back as
+    ``part_type``: as text it is what was written, ``007`` included.
     """
-    schema = f"name string, min_t bigint, max_t bigint, sum_t bigint, cnt bigint, `{part}` {part_type}"
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(f"{SCHEMAS[number]}, `{part}` {part_type}").parquet(path)
 
 
 def _aggregate(records: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,14 +109,14 @@ def _aggregate(records: DataFrame, keys: list[str]) -> DataFrame:
         .agg(
             F.min("t").alias("min_t"),
             F.max("t").alias("max_t"),
-            _exact_sum("t").alias("sum_t"),
+            exact_sum("t").alias("sum_t"),
             F.count("t").alias("cnt"),
         )
         .where(F.col("cnt") > 0)
     )
 
 
-def _exact_sum(column: str) -> Column:
+def exact_sum(column: str) -> Column:
     # A sum beyond bigint stops the query, with and without ANSI mode; it never wraps.
     total = F.try_sum(column)
     stop = F.raise_error(F.lit("sum exceeds bigint")).cast("bigint")

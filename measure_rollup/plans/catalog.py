@@ -11,29 +11,36 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from measure_rollup.functions import f32_text, f32_units, mean_tenths, mean_units, tenths_text, units
 from measure_rollup.operators import (
     apply_mode,
     classify,
+    counted,
     entries,
     finalize,
+    finalize_float,
+    line_counts,
+    merge_float_states,
     merge_summaries,
     numbered,
     parse_records,
+    partial_float_state,
     partial_summary,
     quarantine,
     read_summaries,
     report_line,
     report_parts,
     split_line,
+    summarize,
     summarize_float,
     write_entries,
     write_report,
     write_summary,
 )
+from measure_rollup.plans.files import file_totals, update_files
 from measure_rollup.plans.rollup import rollup, run, summary_of
 from measure_rollup.sources import (
     CORRUPT,
@@ -43,7 +50,16 @@ from measure_rollup.sources import (
     well_formed_rows,
     write_lines,
 )
-from measure_rollup.streaming import compact_summary, latest_summary, run_summary
+from measure_rollup.sources.shared import files_of
+from measure_rollup.streaming import (
+    compact_parts,
+    compact_summary,
+    latest_parts,
+    latest_summary,
+    malformed_lines,
+    run_parts,
+    run_summary,
+)
 
 
 class Query(NamedTuple):
@@ -247,6 +263,20 @@ def float_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(summary_of(_lines(spark, folder, SEGMENT), number="float"))
 
 
+# A float of a tenth or more is a multiple of 2^-27, so these sums are exact.
+def _exact_sql(measure: Measure) -> str:
+    return f"""
+        select name, min(x)::double as min, max(x)::double as max, count(x) as cnt,
+               sum((x::double * 134217728)::bigint)::bigint::double / 134217728 / count(x) as mean
+        from (select name, (t / 10.0::double)::float as x from {_tenths_sql(measure)}) group by name"""
+
+
+@_register(_exact_sql(EVENT))
+def exact_float_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Values as 32-bit floats, summed exactly: every bit of the mean."""
+    return summary_of(_lines(spark, folder, EVENT), number="exact")
+
+
 @_register(
     f"""select {_text_sql('t')} as text, t / 10.0::double as value, count(*) as n
         from {_tenths_sql(SUPPLIER)} group by t"""
@@ -397,6 +427,37 @@ def quarantine_lines(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine(_damaged(spark, folder)).groupBy("value", "status").agg(F.count("*").alias("n"))
 
 
+@_register(
+    f"""select shard, value, status, count(*) as n from (
+          select value, {_STATUS_SQL} as status, shard
+          from (select {_DAMAGED} as value, 'shard-' || (c_custkey % 3)::varchar as shard from customer))
+        where status <> 'ok' group by shard, value, status"""
+)
+def malformed_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Each malformed line with the folder of the file it is in."""
+    path = new_folder(spark, "shards")
+    customer = spark.read.parquet(f"{folder}/customer.parquet")
+    for shard in range(3):
+        lines = customer.where(F.col("c_custkey") % 3 == shard).selectExpr(f"{_DAMAGED} as value")
+        write_lines(lines, f"{path}/shard-{shard}")
+    found = quarantine(read_lines(spark, path, place=True))
+    shard = F.element_at(F.split("file", "/"), -2).alias("shard")
+    return found.groupBy(shard, "value", "status").agg(F.count("*").alias("n"))
+
+
+@_register(
+    f"""select status, n, (select count(*) from {_GOOD_SQL}) as summed
+        from (select status, count(*) as n from (select {_STATUS_SQL} as status from {_DAMAGED_SQL}) group by status)"""
+)
+def status_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines by status, counted in the pass that makes the summary."""
+    seen = Observation("lines")
+    summary = summarize(counted(parse_records(read_lines(spark, _written(spark, _damaged(spark, folder)))), seen))
+    summed = summary.agg(F.sum("cnt")).first()[0]
+    rows = [(status, n, summed) for status, n in line_counts(seen).items() if n]
+    return spark.createDataFrame(rows, "status string, n bigint, summed bigint")
+
+
 @_register(f"select name, {_STATE_SQL} from {_GOOD_SQL} group by name")
 def drop_malformed(spark: SparkSession, folder: str) -> DataFrame:
     """A summary skips malformed lines."""
@@ -521,6 +582,33 @@ def stored_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return merge_summaries(read_summaries(spark, path))
 
 
+@_register(_exact_sql(FLAG))
+def stored_float_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Float states of parts stored as a table, one part written twice, read again and merged."""
+    lines = _lines(spark, folder, FLAG, "cast(year(l_shipdate) as int) as year")
+    records = parse_records(lines, number="float")
+    path = new_folder(spark, "float-states")
+    write_summary(partial_float_state(records, F.col("year")), path)
+    write_summary(partial_float_state(records.where("year = 1995"), F.col("year")), path)
+    return finalize_float(merge_float_states(read_summaries(spark, path, number="exact")))
+
+
+@_register(f"""select name, {_STATE_SQL} from (
+    select * from {_tenths_sql(EVENT)} union all select * from {_tenths_sql(SEGMENT)}) group by name""")
+def replaced_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A summary of files after some were replaced, deleted and added: only these are read again."""
+    source, table = new_folder(spark, "files"), new_folder(spark, "versions")
+    kept = _lines(spark, folder, EVENT)
+    write_lines(kept, f"{source}/kept")
+    write_lines(_lines(spark, folder, PRIORITY), f"{source}/first")
+    update_files(spark, source, table)
+    of, system = files_of(spark, source)
+    system.delete(of(f"{source}/first"), True)
+    write_lines(_lines(spark, folder, SEGMENT), f"{source}/second")
+    update_files(spark, source, table)
+    return file_totals(spark, table)
+
+
 # --- order and rendering ---------------------------------------------------------------
 
 
@@ -545,12 +633,25 @@ def parts_of_report(spark: SparkSession, folder: str) -> DataFrame:
     return report_parts(summary_of(_lines(spark, folder, PART)))
 
 
-@_register(f"select report as value from ({_parts_sql(_entries_sql(PRIORITY))})")
+@_register(f"select report, strlen(report)::bigint as n_bytes from ({_report_sql(_entries_sql(PRIORITY))})")
 def written_report(spark: SparkSession, folder: str) -> DataFrame:
-    """The report as a text file, read again."""
+    """The report as one file: its bytes."""
     path = new_folder(spark, "report")
     write_report(summary_of(_lines(spark, folder, PRIORITY)), path)
-    return read_lines(spark, path)
+    file = spark.read.format("binaryFile").load(path)
+    return file.select(F.col("content").cast("string").alias("report"), F.col("length").alias("n_bytes"))
+
+
+@_register(
+    f"""select (case when part = 0 then report else report[3:] end) as value,
+               (sum(strlen(report)) over ())::bigint as n_bytes from ({_parts_sql(_entries_sql(PART))})"""
+)
+def written_long_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of many names as one line: what stands between its separators, and its size."""
+    path = new_folder(spark, "report")
+    write_report(summary_of(_lines(spark, folder, PART)), path)
+    size = spark.read.format("binaryFile").load(path).select(F.col("length").alias("n_bytes"))
+    return spark.read.option("lineSep", ", ").text(path).join(F.broadcast(size))
 
 
 @_register(f"select entry as value from ({_entries_sql(SUPPLIER)})")
@@ -621,3 +722,39 @@ def stream_summary(spark: SparkSession, folder: str) -> DataFrame:
     write_lines(_lines(spark, folder, SEGMENT), f"{source}/second")
     run_summary(spark, source, output)
     return latest_summary(spark, output)
+
+
+@_register(f"""select name, {_STATE_SQL} from (
+    select * from {_GOOD_SQL} union all select * from {_tenths_sql(EVENT)}) group by name""")
+def stream_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of files that arrive in two runs, malformed lines among them."""
+    return latest_parts(spark, _arrived(spark, folder))
+
+
+@_register(
+    f"select value, status, count(*) as n from (select value, {_STATUS_SQL} as status from {_DAMAGED_SQL}) "
+    "where status <> 'ok' group by value, status"
+)
+def stream_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """The malformed lines of the same files: the other output."""
+    found = malformed_lines(spark, _arrived(spark, folder))
+    return found.groupBy("value", "status").agg(F.count("*").alias("n"))
+
+
+def _arrived(spark: SparkSession, folder: str) -> str:
+    source, output = new_folder(spark, "arriving"), new_folder(spark, "parts")
+    write_lines(_damaged(spark, folder), f"{source}/first")
+    run_parts(spark, source, output, mode="quarantine")
+    compact_parts(spark, output)
+    write_lines(_lines(spark, folder, EVENT), f"{source}/second")
+    run_parts(spark, source, output, mode="quarantine")
+    return output
+
+
+@_register(_exact_sql(EVENT))
+def stream_floats(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact floats of files that arrive, one file a batch."""
+    source, output = new_folder(spark, "arriving"), new_folder(spark, "parts")
+    write_lines(_lines(spark, folder, EVENT).repartition(3), source)
+    run_parts(spark, source, output, number="exact", max_files=1)
+    return finalize_float(latest_parts(spark, output, "exact"))

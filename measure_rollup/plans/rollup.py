@@ -8,10 +8,13 @@ from measure_rollup.operators import (
     by_name,
     fail_on_malformed,
     finalize,
+    finalize_float,
+    float_state,
     parse_records,
     report_parts,
     summarize,
     summarize_float,
+    write_report,
 )
 from measure_rollup.operators.quality import MODES
 from measure_rollup.sources import read_lines, read_measurements, well_formed_rows
@@ -28,13 +31,17 @@ def summary_of(
     """Lines, batch or streaming, to a summary: one pass, one shuffle of partial states.
 
     With ``mode='quarantine'`` the summary is that of ``drop``; the malformed lines are
-    ``quarantine(lines, ...)``.
+    ``quarantine(lines, ...)``. ``number='exact'`` reads the values of ``float``, and its sums do
+    not depend on the order of addition. Under ``fail`` lines that were read with their place
+    name it in the error.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    records = parse_records(lines, split, delimiter, number, encoding)
+    records = parse_records(lines, split, delimiter, "float" if number == "exact" else number, encoding)
     if mode == "fail":
         records = fail_on_malformed(records)
+    if number == "exact":
+        return finalize_float(float_state(records))
     return summarize(records) if number == "tenths" else summarize_float(records)
 
 
@@ -58,6 +65,15 @@ def run(
     return report_parts(summary, render or ("float" if is_float else "exact"))
 
 
+def write_run(
+    spark: SparkSession, path: str | list[str], out: str, reader: str = "text", render: str | None = None, **options
+) -> None:
+    """Path to the file ``out`` with the report as one line, with the options of :func:`run`."""
+    check_options(reader, render, options)
+    summary, is_float = _summary(spark, path, reader, options)
+    write_report(summary, out, render or ("float" if is_float else "exact"))
+
+
 def check_options(reader: str = "text", render: str | None = None, options: dict | None = None) -> None:
     """Raise ``ValueError`` for options that do not go together."""
     given = options or {}
@@ -66,7 +82,7 @@ def check_options(reader: str = "text", render: str | None = None, options: dict
     text_only = sorted({"split", "encoding", "number"} & given.keys())
     if reader == "csv" and text_only:
         raise ValueError(f"the csv reader does not take {', '.join(text_only)}")
-    is_float = reader == "csv" or given.get("number") == "float"
+    is_float = reader == "csv" or given.get("number") in ("float", "exact")
     if render is not None and is_float != (render == "float"):
         kept = "32-bit floats" if is_float else "tenths"
         raise ValueError(f"a summary in {kept} cannot be rendered as {render!r}")
@@ -78,4 +94,4 @@ def _summary(spark: SparkSession, path: str | list[str], reader: str, options: d
         scan = read_measurements(spark, path, **options)
         kept = well_formed_rows(scan) if options.get("mode") == "quarantine" else scan
         return summarize_float(kept, value="value"), True
-    return summary_of(read_lines(spark, path), **options), options.get("number") == "float"
+    return summary_of(read_lines(spark, path, place=options.get("mode") == "fail"), **options), options.get("number") in ("float", "exact")

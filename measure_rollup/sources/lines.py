@@ -11,17 +11,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], place: bool = False) -> DataFrame:
     """Lines of a file, a folder, a glob or a list of these.
 
     Folders are read with all folders below them, and a folder named ``key=value`` is a
-    folder like any other, not a column.
+    folder like any other, not a column. With ``place``, a line comes with its ``file`` and
+    the first byte, ``block``, of the range of the file that its task reads.
     """
-    return _without_cr(spark.read.options(lineSep="\n", recursiveFileLookup=True).text(path))
+    return _placed(_without_cr(spark.read.options(lineSep="\n", recursiveFileLookup=True).text(path)), place)
 
 
 def stream_lines(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    max_bytes: str | None = None,
+    place: bool = False,
 ) -> DataFrame:
     """Lines of the files that keep arriving in a folder.
 
@@ -32,7 +37,7 @@ def stream_lines(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return _without_cr(reader.text(path))
+    return _placed(_without_cr(reader.text(path)), place)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
@@ -40,6 +45,13 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.option("lineSep", "\n").text(path)
 
 
+def _placed(lines: DataFrame, place: bool) -> DataFrame:
+    if not place:
+        return lines
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return lines.select("value", file.alias("file"), block.alias("block"))
+
+
 def _without_cr(lines: DataFrame) -> DataFrame:
     # Only "\n" ends a record, so a name may hold a lone "\r"; the "\r" of "\r\n" goes.
     value = F.col("value")

@@ -32,6 +32,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def files_of(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's class of paths, and the file system that ``path`` is in."""
+    jvm = spark.sparkContext._jvm
+    of = jvm.org.apache.hadoop.fs.Path
+    return of, of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _root(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = context.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)

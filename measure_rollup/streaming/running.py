@@ -34,6 +34,8 @@ def run_summary(
     """
     if options.get("number", "tenths") != "tenths":
         raise ValueError("a running summary is kept in tenths")
+    if options.get("mode") == "quarantine":
+        raise ValueError("a running summary keeps no malformed lines; run_parts does")
 
     def publish(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{output}/batch={batch}")
@@ -95,9 +97,26 @@ class _Files:
         self.system.delete(self._path(f"{self.root}/{folder}"), True)
 
     def _numbers(self, start: str) -> list[int]:
-        """Folders that a write has finished."""
+        """Folders that a write has finished, by the marks that Spark's committer leaves.
+
+        A batch that the query has committed without one shows that marks are switched off;
+        nothing could be told apart then.
+        """
+        there = self.system.globStatus(self._path(f"{self.root}/{start}*")) or []
         found = self.system.globStatus(self._path(f"{self.root}/{start}*/_SUCCESS")) or []
-        return sorted(int(str(f.getPath().getParent().getName()).partition("=")[2]) for f in found)
+        numbers = {self._number(f.getPath()) for f in found}
+        for n in {self._number(f.getPath()) for f in there} - numbers if start == "batch=" else ():
+            if self.system.exists(self._path(f"{self.root}/_progress/commits/{n}")):
+                raise RuntimeError(
+                    f"{self.root}/{start}{n} is finished but not marked;"
+                    " mapreduce.fileoutputcommitter.marksuccessfuljobs must be true"
+                )
+        return sorted(numbers)
+
+    @staticmethod
+    def _number(path) -> int:
+        name = path.getParent().getName() if path.getName() == "_SUCCESS" else path.getName()
+        return int(str(name).partition("=")[2])
 
 
 def latest_summary(spark: SparkSession, output: str) -> DataFrame:
