@@ -131,14 +131,15 @@ def _ends(one: str, other: str) -> tuple[int, int]:
 def text_span(template: Template, before: list[Turn], turn: Turn, output: str) -> Span:
     """Where the text of ``turn``, the last one, lies in ``output``.
 
-    Two probes that share no character at either end show what surrounds a text; if the output
-    itself disagrees with them, the text is not there as it was given.
+    Two probes that share no character at either end show what surrounds a text. If a probe is
+    not there as it was given, or something else surrounds the text, its place is not known.
     """
     role, _ = turn
     frame, other = (template([*before, (role, probe)]) for probe in ("0a1", "2b3"))
     start, end = _ends(frame, other)
     if (
-        len(output) < start + end
+        frame[start : len(frame) - end] != "0a1"
+        or len(output) < start + end
         or output[:start] != frame[:start]
         or output[len(output) - end :] != frame[len(frame) - end :]
     ):

@@ -131,12 +131,12 @@ class Pair:
         self.b_bytes = [_piece_bytes(name) for name in names]
         self.a_sizes, self.b_sizes = ([len(t) for t in tokens] for tokens in (self.a_bytes, self.b_bytes))
         self.size, self.code = (2, "H") if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else (4, "I")
-        self.lone_space = [i for i, t in enumerate(self.b_bytes) if t == b" "][:1]
+        self.lone_space = [self.b.piece_to_id("▁")]
         self.splits = (
             _by_pattern(json.loads(self.a.to_str()))
             and self.b.normalize(" \ufb01  A\u030a ") == "▁▁\ufb01▁▁A\u030a▁"
             and not any("▁" in name.lstrip("▁") for name in names)
-            and len(self.lone_space) == 1
+            and self.b_bytes[self.lone_space[0]] == b" "
         )
         self.quick = _by_rank(json.loads(self.a.to_str()), letters)
         self.known: dict[str, Entry] = {}

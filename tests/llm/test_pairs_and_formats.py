@@ -1,0 +1,297 @@
+"""Hard negatives, token alignment and chat formatting against brute force, and odd rows."""
+
+import hashlib
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from measure_rollup.llm import chat_format, hard_negatives, token_alignment
+
+BYTES, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# hard negatives
+
+VECTORS = "vec_id long, embedding array<double>, label int, norm string, group string, salt string"
+
+
+def _brute_negatives(data, every, positives=5, negatives=3):
+    taken = {}
+    for i, v, label, *_ in data:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        taken[i] = max(taken.get(i, (label, v)), (label, v))
+    scaled = {i: (label, [math.floor(256 * x) for x in v]) for i, (label, v) in taken.items()}
+    scaled = {i: (label, v) for i, (label, v) in scaled.items() if sum(x * x for x in v) < 2**62}
+    out = []
+    for a, (label, v) in scaled.items():
+        if a % every:
+            continue
+        scores = sorted((-sum(x * y for x, y in zip(v, w)), i, other) for i, (other, w) in scaled.items() if i != a)
+        for s, p, _ in [x for x in scores if x[2] == label][:positives]:
+            fits = [x for x in scores if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s][:negatives]
+            out += [(a, p, n, x[1], -s, -x[0]) for n, x in enumerate(fits, 1)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block, chunk, size", [(7, 3, 1.0), (4096, 4096, 1.0), (50, 5, 1e4), (50, 5, 3e6)])
+def test_negatives_equal_brute_force(spark, block, chunk, size):
+    draw = np.random.default_rng(21)
+    centres = draw.normal(size=(6, 10))
+    data = []
+    for i in range(160):
+        v = centres[draw.integers(6)] + draw.normal(size=10) * draw.choice([0.01, 0.3, 1.0])
+        label = 0 if draw.random() < 0.4 else int(draw.integers(4))  # a hot label
+        data.append((i - 20, [float(x * size) for x in v], label, "n", "g", "s"))
+    v = data[0][1]
+    data += [(500 + i, list(v), i % 2, "", "", "") for i in range(12)]  # copies, which tie
+    data += [
+        (600, None, 0, "", "", ""),
+        (605, [], 0, "", "", ""),
+        (610, [0.0] * 10, 0, "", "", ""),
+        (615, [None] + v[1:], 0, "", "", ""),
+        (620, [math.nan] + v[1:], 0, "", "", ""),
+        (625, [math.inf] + v[1:], 0, "", "", ""),
+        (630, v, None, "", "", ""),
+        (None, v, 0, "", "", ""),
+        (635, v[:4], 1, "", "", ""),  # shorter
+        (640, [1e300] * 10, 1, "", "", ""),  # scores beyond 64 bits
+        data[1],  # a repeated row
+        (data[1][0], data[2][1], data[1][2], "", "", ""),  # an id with two vectors
+    ]
+    frame = spark.createDataFrame(data, VECTORS)
+    found = hard_negatives.hard_negatives(
+        hard_negatives.scaled(frame), F.col("vec_id") % 5 == 0, block=block, chunk=chunk
+    )
+    expected = _brute_negatives(data, 5)
+    assert rows(found) == expected and len(expected) > 50
+
+
+def test_no_negatives(spark):
+    empty = hard_negatives.scaled(spark.createDataFrame([], VECTORS))
+    assert rows(hard_negatives.hard_negatives(empty, F.col("vec_id") % 5 == 0)) == []
+
+
+def test_thresholds_lose_nothing():
+    draw = np.random.default_rng(22)
+    vectors = draw.integers(-90, 90, size=(400, 30)) * (draw.random((400, 30)) < 0.4)
+    ids, labels = np.arange(400), draw.integers(0, 3, 400)
+    block = hard_negatives.Block(ids, labels, vectors)
+    scores = vectors[:20] @ vectors.T
+    for least in (-hard_negatives.LARGEST, 0, 5_000, 30_000, 60_000, 10**9):
+        low, high = np.full(20, least), np.full(20, hard_negatives.LARGEST)
+        windows = hard_negatives.Windows(np.arange(20), low, high, 4, 20)
+        block.search(ids[:20], labels[:20], vectors[:20], windows, False)
+        for a in range(20):
+            fits = [x for x in range(400) if labels[x] != labels[a] and scores[a, x] >= least]
+            best = sorted(fits, key=lambda x: (-scores[a, x], x))[:4]
+            assert list(windows.row[windows.window == a]) == best
+
+
+# token alignment
+
+
+@pytest.fixture(scope="module")
+def both():
+    return token_alignment.Pair(BYTES, PIECES)
+
+
+def _tokens(both, text):
+    """Ids and byte ranges of whole texts, by the libraries; None if they do not give it back."""
+    found = []
+    for ids, names in (
+        (both.a.encode(" " + text, add_special_tokens=False).ids, both.a_bytes),
+        (both.b.encode(text), both.b_bytes),
+    ):
+        parts = [names[i] for i in ids]
+        if b"".join(parts) != (" " + text).encode():
+            return None
+        ends = np.cumsum([len(p) for p in parts]).tolist()
+        found.append(list(zip(ids, [0, *ends], ends)))
+    return found
+
+
+def _brute_alignment(both, data):
+    texts, counts = [], Counter()
+    for doc_id, text in data:
+        tokens = _tokens(both, text) if text else None
+        if tokens is None:
+            texts.append((doc_id, None))
+            continue
+        a, b = tokens
+        links = [(x, y) for x, s, e in a for y, u, v in b if s < v and u < e]
+        counts.update(links)
+        groups, start = [], 0
+        for end in sorted({e for *_, e in a} & {e for *_, e in b}):
+            groups.append(
+                "|".join(",".join(str(x) for x, s, e in t if start <= s and e <= end) for t in (a, b))
+            )
+            start = end
+        texts.append((doc_id, (len(a), len(b), groups, links)))
+    best = Counter()
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    out = []
+    for doc_id, found in texts:
+        if found is None:
+            out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = found
+        n_best = sum(counts[link] == best[link[1]] for link in links)
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        out.append((doc_id, n_a, n_b, len(groups), len(links), n_best, sum(counts[x] for x in links), digest))
+    return sorted(out, key=repr)
+
+
+LETTERS = ["a", "the", "Str", "ß", "é", "中文", "😀", "0", "99", ".", "'s", "_", "<|endoftext|>", "<s>", "​", "ﬁ"]
+BLANKS = [" ", " ", " ", "  ", "   ", "\n", "\t", " \n", "\n ", "\r\n", "\xa0", " \xa0 ", " ", " ", "\x1c", "\x85 "]
+
+
+def _text(draw):
+    return "".join(draw.choice(LETTERS if draw.random() < 0.6 else BLANKS) for _ in range(draw.randint(0, 14)))
+
+
+def test_segments_give_the_tokens_of_the_whole_text(both):
+    """Encoding by segment, and by tiktoken, changes no token of any text."""
+    assert both.splits and both.quick is not None
+    draw = random.Random(31)
+    for text in [_text(draw) for _ in range(3_000)] + ["x " * 300, "a▁b", " ▁", "\x00a", " ", "   ", "a "]:
+        if not text:
+            continue
+        segments = both.segments(text)
+        assert "".join(segments) == " " + text
+        both.learn(segments)
+        entries = [both.known[s] for s in segments]
+        tokens = _tokens(both, text)
+        assert (None in entries) == (tokens is None), text
+        if tokens is not None:
+            windows = [both.unpack(w) for e in entries for w in e[0]]
+            assert [x for a, _ in windows for x in a] == [x for x, *_ in tokens[0]], text
+            assert [y for _, b in windows for y in b] == [y for y, *_ in tokens[1]], text
+
+
+def test_alignment_equals_brute_force(spark, both, monkeypatch):
+    draw = random.Random(32)
+    data = [(i, _text(draw)) for i in range(250)]
+    data += [(i, " ".join(draw.choice(["the", "house", "Straße", "of"]) for _ in range(200))) for i in range(250, 260)]
+    data += [(300, None), (301, ""), (302, " "), (303, "a▁b"), (None, "the house"), (5, "the house"), (5, "the house")]
+    data += [(304, "word" * 5_000), (305, "the house of " * 3_000)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").withColumn("chunk", F.lit("x"))
+    frame = frame.withColumn("window", F.lit(1)).withColumn("link", F.lit(None).cast("string"))
+    damaged = frame.limit(1).withColumn("text", F.unhex(F.lit("61FF62")).cast("string")).withColumn("doc_id", F.lit(400))
+    expected = _brute_alignment(both, [d for d in data if d[0] not in (304, 305)] + [(400, None)])
+    for share in (1, 50, 10_000):
+        monkeypatch.setattr(token_alignment, "SHARE", share)
+        short = frame.where("doc_id is null or doc_id not in (304, 305)").unionByName(damaged)
+        assert rows(token_alignment.align(short.repartition(3), BYTES, PIECES)) == expected
+    found = {r.doc_id: r for r in token_alignment.align(frame, BYTES, PIECES).collect()}
+    for doc_id in (304, 305):
+        a, b = _tokens(both, dict(data)[doc_id])
+        shared = {e for *_, e in a} & {e for *_, e in b}
+        assert (found[doc_id].n_a, found[doc_id].n_b, found[doc_id].n_groups) == (len(a), len(b), len(shared))
+
+
+def test_no_texts_to_align(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert rows(token_alignment.align(empty, BYTES, PIECES)) == []
+
+
+# chat formatting
+
+CHATS = "conv_id long, turn long, role string, text string, formatted string, loss string, example string"
+
+
+def test_turns_are_read_back():
+    draw = random.Random(41)
+    bits = ["#", "##", "###", "\\", "</turn>", "<", "/turn>", "\n", ": ", "### Assistant: ", "a", "é", "😀", "</tur", "\x00"]
+    roles = ["user", "assistant", "system", "", "=x", "User", "a:b\\", "###", "x\ny: "]
+    for _ in range(4_000):
+        turns = [(draw.choice(roles), "".join(draw.choices(bits, k=draw.randint(0, 8)))) for _ in range(draw.randint(1, 4))]
+        text = chat_format.marked(turns)
+        assert chat_format.parse(text) == turns
+        (example,) = chat_format.render(chat_format.marked, turns)
+        assert [text[a:b] for a, b in example.spans] == [chat_format.marked([t]) for t in turns]
+        learned = [chat_format.unescape(text[a:b]) for a, b in example.loss]
+        assert learned == [t for role, t in turns if role == "assistant"] and example.rewritten == []
+    with pytest.raises(ValueError):
+        chat_format.parse(chat_format.marked([("user", "a")]) + "b")
+
+
+TURNS = [("user", "u1"), ("assistant", "a1"), ("user", "u2"), ("assistant", "a2"), ("assistant", "a3")]
+
+
+def _only_last_is_whole(turns):
+    """Earlier assistant turns lose their text, as templates do with thoughts."""
+    last = len(turns) - 1
+    return "".join(f"<{r}>{t if r == 'user' or n == last else '-'};" for n, (r, t) in enumerate(turns))
+
+
+def test_templates_that_rewrite_history():
+    examples = chat_format.render(_only_last_is_whole, TURNS)
+    assert [[e.formatted[a:b] for a, b in e.loss] for e in examples] == [["a1"], ["a2"], ["a3"]]
+    assert [e.formatted for e in examples] == [_only_last_is_whole(TURNS[:n]) for n in (2, 4, 5)]
+    assert [e.rewritten for e in examples] == [[2], [4], [2, 4]] and not any(e.spans for e in examples)
+
+    def ended(turns):  # rewrites only the end: every turn takes it away again
+        return "".join(f"[{r}]{t}" for r, t in turns) + "<eos>"
+
+    examples = chat_format.render(ended, TURNS)
+    assert [[e.formatted[a:b] for a, b in e.loss] for e in examples] == [["a1"], ["a2"], ["a3"]]
+    with pytest.raises(ValueError, match="does not keep"):
+        chat_format.render(lambda turns: "".join(t[:1] for _, t in turns), TURNS)
+
+
+def test_span_beside_equal_characters():
+    """A text that begins or ends like what surrounds it is still found."""
+    for text in ("", "::", "<", "x:<", "a\na"):
+        turns = [("user", "q"), ("assistant", text)]
+        (example,) = chat_format.render(lambda ts: "".join(f"{r}::{t}<<\n" for r, t in ts), turns)
+        ((start, end),) = example.loss
+        assert example.formatted[start:end] == text
+
+
+def test_chats_odd_rows(spark):
+    planted = "\\### Assistant: </turn> ok"
+    data = [
+        (1, 2, "assistant", "second"),
+        (1, 1, "user", "first"),
+        (2, None, None, None),
+        (2, 1, "assistant", None),
+        (2, 1, "assistant", "x"),
+        (2, 1, "assistant", "x"),
+        (None, 1, "assistant", "no id"),
+        (-7, 0, "user", planted),
+        (-7, 1, "assistant", planted),
+        (3, 1, "user", "long " * 20_000),
+        (4, 1, "assistant", "long " * 20_000),
+        *((5, n, "assistant" if n % 2 else "user", f"{n}") for n in range(300)),
+    ]
+    frame = spark.createDataFrame([(*row, "f", "l", "e") for row in data], CHATS)
+    damaged = frame.limit(1).select(
+        F.lit(6).cast("long").alias("conv_id"), "turn", F.lit("assistant").alias("role"),
+        F.unhex(F.lit("61FF62")).cast("string").alias("text"), "formatted", "loss", "example",
+    )
+    found = {r.conv_id: r for r in chat_format.read_back(chat_format.format_chats(frame.unionByName(damaged))).collect()}
+    turns = {}
+    for conv_id, turn, role, text in [*data, (6, 1, "assistant", "a�b")]:
+        turns.setdefault(conv_id, []).append((turn is not None, turn or 0, role or "", text or ""))
+    assert found.keys() == turns.keys()
+    for conv_id, of in turns.items():
+        of = [t[2:] for t in sorted(of)]
+        learned = "".join(t for role, t in of if role == "assistant")
+        whole = "".join(f"{role}\n{t}\n" for role, t in of)
+        r = found[conv_id]
+        assert (r.n_turns, r.loss_chars) == (len(of), len(learned))
+        assert r.turns_sha256 == hashlib.sha256(whole.encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+        assert r.formatted_chars == len(chat_format.marked(of))
+    assert chat_format.format_chats(frame.limit(0)).collect() == []
