@@ -31,6 +31,7 @@ results. Other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -42,11 +43,13 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as Over
 from pyspark.sql import functions as F
 
 from measure_rollup.sources import new_folder
+from measure_rollup.sources.shared import files_of
 
 MEMORY = 400_000  # segments a task knows
 LONG = 64  # characters
@@ -54,7 +57,7 @@ CHARACTERS = 1_000_000  # that are encoded at once, unless a single text has mor
 TEXTS = 512
 CHUNK_TEXTS = 16_384
 CHUNK_WINDOWS = 262_144
-SHARE = 10_000
+SHARE = 100_000
 
 _SPACE = 0x20
 #: White space of any library, and what might be taken for it, never ends a segment.
@@ -130,6 +133,9 @@ class Pair:
         ]
         self.b_bytes = [_piece_bytes(name) for name in names]
         self.a_sizes, self.b_sizes = ([len(t) for t in tokens] for tokens in (self.a_bytes, self.b_bytes))
+        self.a_widths, self.b_widths = np.array(self.a_sizes), np.array(self.b_sizes)
+        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.headers = [struct.pack("<I", n) for n in range(256)]
         self.size, self.code = (2, "H") if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else (4, "I")
         self.lone_space = [self.b.piece_to_id("▁")]
         self.splits = (
@@ -179,26 +185,34 @@ class Pair:
             or b"".join(map(self.b_bytes.__getitem__, flat_b)) != whole
         ):
             return list(map(self._entry, datas, a, b))
-        is_end = np.zeros(len(whole) + 1, bool)
-        is_end[np.cumsum(np.array(self.b_sizes)[flat_b])] = True
-        shared = np.concatenate(([0], np.cumsum(is_end[np.cumsum(np.array(self.a_sizes)[flat_a])])))
-        ends = np.cumsum(list(map(len, a)))
-        # where the border of two segments is inside a token, tokens and texts only agree as a whole
+        ends_a, ends_b = np.cumsum(self.a_widths[flat_a]), np.cumsum(self.b_widths[flat_b])
+        in_a, in_b = (np.zeros(len(whole) + 1, bool) for _ in "ab")
+        in_a[ends_a], in_b[ends_b] = True, True
         borders = np.cumsum(list(map(len, datas)))
-        if not (np.cumsum(np.array(self.a_sizes)[flat_a])[ends - 1] == borders).all() or not is_end[borders].all():
+        if not (in_a[borders] & in_b[borders]).all():  # the tokens only agree with all of it together
             return list(map(self._entry, datas, a, b))
-        n_groups = np.diff(shared[ends], prepend=0).tolist()
-        return [
-            (
-                (self.pack(x, y),),
-                len(x),
-                len(y),
-                ";".join(map("%d|%d".__mod__, zip(x, y))) if n == len(x) == len(y) else self.describe(x, y)[0],
-                n,
-                len(x) + len(y) - n,
-            )
-            for x, y, n in zip(a, b, n_groups)
+        cuts_a = (np.flatnonzero(in_b[ends_a]) + 1).tolist()
+        cuts_b = (np.flatnonzero(in_a[ends_b]) + 1).tolist()
+        names_a, names_b = list(map(self.names.__getitem__, flat_a)), list(map(self.names.__getitem__, flat_b))
+        groups = [
+            names_a[i] + "|" + names_b[k]
+            if j - i == 1 == m - k
+            else ",".join(names_a[i:j]) + "|" + ",".join(names_b[k:m])
+            for i, j, k, m in zip([0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b)
         ]
+        sizes_a, sizes_b = list(map(len, a)), list(map(len, b))
+        last = np.searchsorted(ends_a[np.array(cuts_a) - 1], borders, side="right")
+        packed_a, packed_b = (np.array(flat, f"<u{self.size}").tobytes() for flat in (flat_a, flat_b))
+        head, width = self.headers, self.size
+        entries, at_a, at_b, first = [], 0, 0, 0
+        for n_a, n_b, end in zip(sizes_a, sizes_b, last.tolist()):
+            to_a, to_b = at_a + n_a * width, at_b + n_b * width
+            packed = (head[n_a] if n_a < len(head) else struct.pack("<I", n_a)) + packed_a[at_a:to_a] + packed_b[at_b:to_b]
+            n = end - first
+            # every token end of either but the shared ones begins one more link
+            entries.append(((packed,), n_a, n_b, ";".join(groups[first:end]), n, n_a + n_b - n))
+            at_a, at_b, first = to_a, to_b, end
+        return entries
 
     def _entry(self, data: bytes, a: list[int], b: list[int]) -> Entry:
         if (
@@ -234,28 +248,6 @@ class Pair:
         ]
         return [(a[i:j], b[k:m]) for (i, k), (j, m) in zip([(0, 0), *cuts], [*cuts, (len(a), len(b))])]
 
-    def links(self, a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-        """A window's pairs of tokens that overlap, in order."""
-        size_a, size_b = self.a_sizes, self.b_sizes
-        links = []
-        i = j = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            links.append((a[i], b[j]))
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += size_b[b[j]]
-            else:
-                i += 1
-                j += 1
-                if i == len(a):
-                    return links
-                end_a += size_a[a[i]]
-                end_b += size_b[b[j]]
-
     def pack(self, a: Sequence[int], b: Sequence[int]) -> bytes:
         return struct.pack(f"<I{len(a) + len(b)}{self.code}", len(a), *a, *b)
 
@@ -263,6 +255,22 @@ class Pair:
         count, *ids = struct.unpack(f"<I{(len(packed) - 4) // self.size}{self.code}", packed)
         return ids[:count], ids[count:]
 
+    def links(self, packed: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows' pairs of tokens that overlap, in order: ids of A and B, and the window's place."""
+        words = np.frombuffer(b"".join(packed.to_pylist()), f"<u{self.size}").astype(np.int64)
+        sizes = pc.binary_length(packed).to_numpy() // self.size
+        start = np.cumsum(sizes) - sizes
+        header = 4 // self.size
+        n_a = words[start] if header == 1 else words[start] | words[start + 1] << 16
+        place = np.arange(len(words)) - np.repeat(start, sizes) - header
+        in_a = place < np.repeat(n_a, sizes)
+        a, b = words[(place >= 0) & in_a], words[(place >= 0) & ~in_a]
+        # a window has as many bytes in both, so the ends go on from one window to the next
+        ends_a, ends_b = np.cumsum(self.a_widths[a]), np.cumsum(self.b_widths[b])
+        borders = ends_a[np.cumsum(n_a) - 1]
+        ends = np.union1d(ends_a, ends_b)  # each is the end of what one pair shares
+        return a[np.searchsorted(ends_a, ends)], b[np.searchsorted(ends_b, ends)], np.searchsorted(borders, ends)
+
 
 def _by_rank(tokenizer: dict, letters: dict[str, int]):
     """The same merges in tiktoken, which is faster; None if ids are not in the order of merges."""
@@ -355,6 +363,7 @@ def _tokenised(byte_level: str, pieces: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(byte_level, pieces)
         known = both.known
+        gc.disable()  # what is kept has no cycles, and there is much of it
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
         try:
@@ -362,14 +371,23 @@ def _tokenised(byte_level: str, pieces: str):
                 cut = [both.segments(text) if text else [] for _, text in rows]
                 both.learn({segment for segments in cut for segment in segments})
                 for (doc_id, _), segments in zip(rows, cut):
-                    entries = list(map(known.__getitem__, segments))
-                    if not entries or None in entries:
-                        chunk.add(doc_id, (0, 0, 0, 0, ""), {})
+                    n_a = n_b = n_groups = n_links = 0
+                    held: dict[bytes, int] = {}
+                    for segment, times in Counter(segments).items():
+                        entry = known[segment]
+                        if entry is None:
+                            n_a, held = 0, {}
+                            break
+                        windows, a, b, _, groups, links = entry
+                        n_a, n_b = n_a + times * a, n_b + times * b
+                        n_groups, n_links = n_groups + times * groups, n_links + times * links
+                        for window in windows:
+                            held[window] = held.get(window, 0) + times
+                    if n_a:
+                        digest = hashlib.sha256(";".join([known[s][3] for s in segments]).encode()).hexdigest()
+                        chunk.add(doc_id, (n_a, n_b, n_groups, n_links, digest), held)
                     else:
-                        windows, n_a, n_b, groups, n_groups, n_links = zip(*entries)
-                        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-                        sums = (sum(n_a), sum(n_b), sum(n_groups), sum(n_links))
-                        chunk.add(doc_id, (*sums, digest), Counter(chain.from_iterable(windows)))
+                        chunk.add(doc_id, (0, 0, 0, 0, ""), {})
                     if chunk.full:
                         yield chunk.batch()
                         number += 1
@@ -380,6 +398,7 @@ def _tokenised(byte_level: str, pieces: str):
                 yield chunk.batch()
         finally:
             known.clear()  # the worker may outlive the stage
+            gc.enable()
 
     return run
 
@@ -388,17 +407,10 @@ def _links(byte_level: str, pieces: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = pair(byte_level, pieces)
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            sizes = []
-            for packed in batch["window"].to_pylist():
-                links = both.links(*both.unpack(packed))
-                found += links
-                sizes.append(len(links))
-            pairs = np.array(found, np.int64).reshape(-1, 2)
-            columns = [np.repeat(batch[c].to_numpy(), sizes) for c in ("id", "n")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (columns[0], pairs[:, 0] << 32 | pairs[:, 1], columns[1])], names=["id", "link", "n"]
-            )
+            if batch.num_rows:
+                a, b, place = both.links(batch["window"])
+                columns = [batch["id"].to_numpy()[place], a << 32 | b, batch["n"].to_numpy()[place]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "link", "n"])
 
     return run
 
@@ -460,10 +472,9 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     )
     counts = stored(links.groupBy("link").agg(F.sum("n").alias("count"), F.count("*").alias("held")), "counts")
     b = F.col("link").bitwiseAND(0xFFFFFFFF).alias("b")
-    highest = counts.groupBy(b).agg(F.max("count").alias("highest"))
-    counts = counts.withColumn("b", b).join(highest, "b").select(
-        "link", "count", (F.col("count") == F.col("highest")).cast("long").alias("best"), "held"
-    )
+    # a token of B has at most as many pairs as A has tokens
+    best = F.col("count") == F.max("count").over(Over.partitionBy("b"))
+    counts = counts.withColumn("b", b).select("link", "count", best.cast("long").alias("best"), "held")
     per_id = (
         _joined(links.select("id", "link"), counts, "link", links.count())
         .groupBy("id")
@@ -473,6 +484,9 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         windows.select("id", "window", "held").join(per_id, "id").select("window", "n_best", "count_sum", "held"), "sums"
     )
     n_held = windows.agg(F.sum("held")).first()[0] or 0
+    of, system = files_of(spark, path)
+    for name in ("windows", "links", "counts"):  # read for the last time
+        system.delete(of(f"{path}/{name}"), True)
     sums = _joined(held.select("chunk", "place", "window"), per_window, "window", n_held)
     left = spark.read.schema(_TEXTS).parquet(f"{path}/texts").drop("windows", "numbers")
     return (
