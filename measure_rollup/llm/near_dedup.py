@@ -32,7 +32,7 @@ Texts of less than five words match their copies only, and one of four its like
 word is more than 0.2 of them.
 Rows without an id are in no group but that of their copies, and are never dropped. Rows
 repeated with the same id count once; if an id comes with several texts, one of them
-stands for it. Empty tables give empty results. Other columns are not read.
+stands for it. Damaged UTF-8 counts as U+FFFD. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,14 +49,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from measure_rollup.llm.components import components
-from measure_rollup.sources import new_folder
+from measure_rollup.llm.scratch import Scratch
 
 SIMILARITY = 0.8
 K = 2
 SAMPLED = 3
 SKETCHES = 96
 FOLDS = 128
-BLOCK = 1_024
+BLOCK = 4_096
+SLICE = 1 << 20  # pairs of a block that are looked at at once
 SHORT = 14  # words of a text for which all rests are named; from 15 on there are 576 and more
 LEAST = 12  # words of the shortest text that is similar to one of more than SHORT words
 SPAN = 4 * float(np.log(1 / SIMILARITY))  # width of a class of lengths, as a logarithm
@@ -369,24 +370,31 @@ def _unconnected(nearest: int):
     def compare(rows):
         _, _, second, same, ids, component, size, bins = rows
         one, other = (~second, second) if not same[0] else (slice(None), slice(None))
-        i, j = np.nonzero(component[one][:, None] != component[other][None, :])
-        found = []
-        for at in range(0, len(i), 1 << 16):
-            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            least = least_distance(size[one][x], bins[one][x], size[other][y], bins[other][y])
-            good = least <= allowed(size[one][x], size[other][y])
-            found.append((x[good], y[good], least[good]))
-        if not found:
-            return
-        x, y, least = (np.concatenate(part) for part in zip(*found))
-        if nearest:
-            order = np.lexsort((ids[other][y], least, x))
-            x, y = x[order], y[order]
-            near = np.arange(len(x)) - np.searchsorted(x, x) < nearest
-            x, y = x[near], y[near]
-        a, b = ids[one][x], ids[other][y]
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        columns = (ids, component, size, bins)
+        (ids_a, component_a, size_a, bins_a), (ids_b, component_b, size_b, bins_b) = (
+            [column[side] for column in columns] for side in (one, other)
+        )
+        step = max(1, SLICE // max(1, len(ids_b)))
+        for start in range(0, len(ids_a), step):  # whole rows, so that each member's nearest are seen
+            i, j = np.nonzero(component_a[start : start + step, None] != component_b[None, :])
+            i += start
+            found = []
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                least = least_distance(size_a[x], bins_a[x], size_b[y], bins_b[y])
+                good = least <= allowed(size_a[x], size_b[y])
+                found.append((x[good], y[good], least[good]))
+            if not found:
+                continue
+            x, y, least = (np.concatenate(part) for part in zip(*found))
+            if nearest:
+                order = np.lexsort((ids_b[y], least, x))
+                x, y = x[order], y[order]
+                near = np.arange(len(x)) - np.searchsorted(x, x) < nearest
+                x, y = x[near], y[near]
+            a, b = ids_a[x], ids_b[y]
+            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] | None = None
@@ -446,14 +454,11 @@ def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame, nearest: int = 0
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), group_id, kept per row of ``docs``."""
     spark = docs.sparkSession
-    path = new_folder(spark, "near")
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    scratch = Scratch(spark, "near")
+    stored = scratch.store
 
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text")
     )
     sketched = stored(texts.mapInArrow(_describe, _SKETCHED), "sketches")
     classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
@@ -463,10 +468,15 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["doc_id"])
         .select("doc_id", "size", "bins", "names")
     )
-    nodes = stored(nodes, "nodes")
-    rows = nodes.select("doc_id", F.explode("names").alias("name"))
+    named = stored(nodes, "named")
+    digests = stored(sketched.select("doc_id", "digest"), "digests")
+    scratch.remove("sketches")
+    classes = digests.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
+    nodes = stored(named.drop("names"), "nodes")
+    rows = named.select("doc_id", F.explode("names").alias("name"))
     smallest = rows.groupBy("name").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"))
     shared = stored(rows.join(smallest.filter("n > 1"), "name"), "shared")
+    scratch.remove("named")
     first = shared.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     tried = stored(_possible(first, nodes), "first")
 
@@ -486,12 +496,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
             links = links.unionByName(more)
             member = stored(components(links), f"{name}-members")
         tried = tried.unionByName(pairs)
+    scratch.remove("shared", "first", "nodes")
     groups = classes.join(member, classes.class_id == member.node, "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("group_id")
     )
     return (
-        sketched.select("doc_id", "digest")
-        .join(groups, "digest")
+        digests.join(groups, "digest")
         .select(
             "doc_id",
             "class_id",
@@ -503,5 +513,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    gone = near_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = near_groups(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))  # whose columns may have any names
+    kept = rows.join(gone, F.col("row")["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    return kept.select("row.*")

@@ -13,7 +13,7 @@ Memory of a task is one batch and ``pool`` waiting pieces. Its order follows fro
 hash, so a task that is run again gives the same windows.
 
 Defined cases: null text is empty and has one token, the end id. Null ids pass through.
-Repeated rows are packed each. Documents of any length are cut. Empty tables give empty
+Repeated rows are packed each. Damaged UTF-8 counts as U+FFFD. Documents of any length are cut. Empty tables give empty
 results. Other columns are not read.
 """
 
@@ -90,6 +90,10 @@ class Encoder:
                 known[word] = self._word(word)
         return b"".join(map(known.__getitem__, words))
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.parts.clear()
+
     def _whole(self, text: str) -> bytes:
         return _packed(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -149,17 +153,20 @@ def pieces(
 
     def tokenize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids = encode(text.as_py()) + last
-                for start, length in cut(len(ids) // 4, capacity, piece):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    rows.append((doc_id, start, length, crc, len(ids) // 4))
-            yield _columns(rows, schema)
+        try:
+            for batch in batches:
+                rows = []
+                for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+                    ids = encode(text.as_py()) + last
+                    for start, length in cut(len(ids) // 4, capacity, piece):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                        rows.append((doc_id, start, length, crc, len(ids) // 4))
+                yield _columns(rows, schema)
+        finally:
+            encode.forget()  # the worker may go on to other stages
 
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text")
     )
     return texts.mapInArrow(tokenize, PIECES)
 

@@ -48,8 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as Over
 from pyspark.sql import functions as F
 
-from measure_rollup.sources import new_folder
-from measure_rollup.sources.shared import files_of
+from measure_rollup.llm.scratch import Scratch
 
 MEMORY = 400_000  # segments a task knows
 LONG = 64  # characters
@@ -451,11 +450,8 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     sentencepiece that puts a space in front. Every executor has both files.
     """
     spark = docs.sparkSession
-    path = new_folder(spark, "alignment")
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+    scratch = Scratch(spark, "alignment")
+    stored = scratch.store
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.when(F.is_valid_utf8("text"), F.col("text")).alias("text")
@@ -484,11 +480,9 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         windows.select("id", "window", "held").join(per_id, "id").select("window", "n_best", "count_sum", "held"), "sums"
     )
     n_held = windows.agg(F.sum("held")).first()[0] or 0
-    of, system = files_of(spark, path)
-    for name in ("windows", "links", "counts"):  # read for the last time
-        system.delete(of(f"{path}/{name}"), True)
+    scratch.remove("windows", "links", "counts")
     sums = _joined(held.select("chunk", "place", "window"), per_window, "window", n_held)
-    left = spark.read.schema(_TEXTS).parquet(f"{path}/texts").drop("windows", "numbers")
+    left = spark.read.schema(_TEXTS).parquet(f"{scratch.path}/texts").drop("windows", "numbers")
     return (
         left.groupBy("chunk")
         .cogroup(sums.select("chunk", "place", "n_best", "count_sum").groupBy("chunk"))
