@@ -44,7 +44,8 @@ BLOCKS = (
 )
 TAGS = r"<[a-zA-Z/!?][^>]*>"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LINK = r"(?i)\shref\s*=\s*\"([^\"]*)\""
+# A link's value with its quotes, if it has any.
+LINK = r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 # Entities decoded by column expressions, in this order.
 ENTITIES = {
     "&lt;": "<",
@@ -150,6 +151,11 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return _sealed(rows)
 
 
+def _unquoted(value: Column) -> Column:
+    quoted = F.startswith(value, F.lit('"')) | F.startswith(value, F.lit("'"))
+    return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
 def _sealed(rows: DataFrame, *more: Column) -> DataFrame:
     """``rows`` with their block's length and digest, and the record's header lines."""
     rows = rows.withColumn("content_length", _length(F.col("block"))).withColumn(
@@ -193,7 +199,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     rows = rows.select(
         *(c for c in rows.columns if c != "payload"),
         F.regexp_extract("payload", TITLE, 1).alias("title"),
-        F.array_distinct(F.regexp_extract_all("payload", F.lit(LINK), 1)).alias("links"),
+        F.array_distinct(F.transform(F.regexp_extract_all("payload", F.lit(LINK), 1), _unquoted)).alias("links"),
         without_markup(F.col("payload")).alias("text"),
     )
     rows = rows.withColumns({name: decoded(F.col(name)) for name in ("title", "text")})

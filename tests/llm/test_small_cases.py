@@ -752,6 +752,26 @@ def test_warc_odd_and_round_trip(spark, tmp_path):
         assert sorted(rows(again), key=repr) == sorted(map(tuple, made), key=repr)
 
 
+def test_links_of_every_form(spark):
+    """Against the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def handle_starttag(self, tag, attributes):
+            found.extend(value for name, value in attributes if name == "href")
+
+    pages = [
+        """<a href='x1'>1</a><a href=x2>2</a><a href="x3">3</a><a HREF = 'a "b" c'>4</a><a id=1 href=/p?q=1&amp;r=2 >5</a>""",
+        """<a href="it's">1</a><a href='x1' title="t">2</a><a\nhref=x/y/>3</a><link rel=x href="s.css"/><a href="x1">""",
+    ]
+    frame = spark.createDataFrame([(n, f"http://{n}", html, None, None) for n, html in enumerate(pages)], PAGE)
+    for r in warc.derivatives(warc.responses(frame)).filter("warc_type = 'metadata'").collect():
+        found = []
+        Links().feed(pages[int(r.target_uri[-1])])
+        links = [line.partition(": ")[2] for line in r.block.split("\r\n") if line.startswith("outlink: ")]
+        assert sorted(links) == sorted(set(found))
+
+
 def test_block_with_a_border_is_marked(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a", "x\r\n\r\nWARC/1.0\r\ny", None, None)], PAGE)
     warc.write_records(warc.responses(pages), str(tmp_path / "w"))
