@@ -567,6 +567,18 @@ def test_near_odd(odd, none):
     assert rows(near_dedup.near_groups(none)) == [] == rows(near_dedup.near_dedup(none))
 
 
+def test_near_dedup_with_clashing_columns_and_damaged_text(spark):
+    words = "one two three four five six seven eight nine ten"
+    df = documents(spark, [(1, words), (2, words), (3, "others")])
+    df = df.withColumn("_gone", F.lit(1)).withColumn("gone", F.lit("x"))
+    damaged = F.concat(F.unhex(F.lit("61FF62")), F.lit(" c d e").cast("binary")).cast("string")
+    df = df.withColumn("text", F.when(F.col("doc_id") == 3, damaged).otherwise(F.col("text")))
+    kept = near_dedup.near_dedup(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 3]
+    pieces = packing.pack_documents(df, WORDS)
+    assert sorted({r.doc_id for r in pieces.collect()}) == [1, 2, 3]
+
+
 # embeddings
 
 VECTOR = StructType(
