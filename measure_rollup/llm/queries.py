@@ -15,7 +15,7 @@ from measure_rollup.llm.embedding_dedup import near_duplicates
 from measure_rollup.llm.exact_dedup import exact_groups
 from measure_rollup.llm.hard_negatives import hard_negatives, scaled
 from measure_rollup.llm.language_id import language_of
-from measure_rollup.llm.mixing import MARGINS, POWERS, ROUNDS, mixed
+from measure_rollup.llm.mixing import FALL, MARGINS, POWERS, RATE, TOLERANCE, mixed
 from measure_rollup.llm.near_dedup import near_groups
 from measure_rollup.llm.packing import pack_documents
 from measure_rollup.llm.quality import quality_of
@@ -124,7 +124,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing_sql() -> str:
-    """The rounds of fitting, written out. Sums of doubles may differ in the last bits; results are rounded."""
+    """The rounds of fitting as a recursion. Sums of doubles may differ in the last bits; results are rounded."""
     keys = ", ".join(f"_{name}" for name in MARGINS)
     parts = [
         """
@@ -155,29 +155,50 @@ target_{name} as materialized (
         from cells group by all having sum(tokens) > 0
     )
 )""")
+    steps = f"(select *, sum(weight) over () as size, sum(tokens) over () as total from raked where not done)"
+    for name in MARGINS:
+        steps = f"""(
+        select * replace (
+            case when held > 0 then weight * {name}_target / held else 0 end as weight,
+            greatest(off, abs(held / {"size" if name == MARGINS[0] else "1"} - {name}_target)) as off
+        ) from (select *, sum(weight) over (partition by _{name}) as held from {steps}))"""
+        steps = steps.replace("select * replace", "select * exclude (held) replace")
     parts.append(f"""
-raked_0 as materialized (
-    select {keys}, tokens, tokens::double as weight from cells where tokens > 0
-)""")
-    for step in range(ROUNDS * len(MARGINS)):
-        column = f"_{MARGINS[step % len(MARGINS)]}"
-        parts.append(f"""
-raked_{step + 1} as materialized (
-    select {keys}, tokens, case when held > 0 then weight * target / held else 0 end as weight
-    from (select *, sum(weight) over (partition by {column}) as held from raked_{step})
-    join target{column} using ({column})
+raked as (
+    select {keys}, tokens, {", ".join(f"{name}_target" for name in MARGINS)},
+        tokens::double as weight, 0::double as off, null::double as error, 0 as round, false as done
+    from cells
+    {" ".join(f"join (select _{name}, target as {name}_target from target_{name}) using (_{name})" for name in MARGINS)}
+    where tokens > 0
+    union all
+    select {keys}, tokens, {", ".join(f"{name}_target" for name in MARGINS)}, weight, 0, found, round + 1,
+        found <= {TOLERANCE} or coalesce(found > {FALL} * error, false)
+    from (select *, max(off) over () as found from {steps})
 )""")
     parts.append(f"""
 factors as materialized (
-    select {keys}, round(weight / (tokens / sum(tokens) over ()), 9) as factor
-    from raked_{ROUNDS * len(MARGINS)}
+    select {keys}, tokens, round(weight / (tokens / sum(tokens) over ()), 9) as factor
+    from raked where done
+)""")
+    # cells of the largest factors give all they have; the first level at which the rest need not
+    parts.append(f"""
+levels as (
+    select factor, ({RATE} * (select sum(tokens) from cells)
+        - coalesce(sum(sum(tokens)) over (order by factor desc rows between unbounded preceding and 1 preceding), 0))
+        / sum(sum(tokens * factor)) over (order by factor desc rows between current row and unbounded following) as number
+    from factors where factor > 0 group by factor
+)""")
+    parts.append("""
+chosen as materialized (
+    select coalesce((select number from levels where number * factor < 1 order by factor desc limit 1),
+        (select 1 / min(factor) from levels), 1) as number
 )""")
-    return f"""with {",".join(parts)}
+    return f"""with recursive {",".join(parts)}
 select doc_id, source, lang, topic, n_tokens, coalesce(factor, 1) as factor, probability,
     ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 8))::bigint / 4294967296 < probability as kept
 from (
     select described.*, factor,
-        coalesce(round(least(1, coalesce(factor, 1) / (select max(factor) from factors)), 9), 1) as probability
+        round(least(1, coalesce(factor, 1) * (select number from chosen)), 9) as probability
     from described left join factors using ({keys})
 )
 """

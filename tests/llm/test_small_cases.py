@@ -687,7 +687,7 @@ def test_raked_margins_meet_their_targets(spark):
         for i in range(300)
     ]
     df = documents(spark, data)
-    found = mixing.mixed(df, rounds=8).collect()
+    found = mixing.mixed(df).collect()
     total = sum(r.n_tokens for r in found)
     for name, power in mixing.POWERS.items():
         got = Counter()
@@ -695,8 +695,8 @@ def test_raked_margins_meet_their_targets(spark):
             got[r[name]] += r.factor * r.n_tokens / total
         for value, share in _expected_margins(found, name, power).items():
             assert got[value] == pytest.approx(share, rel=1e-3)
-    assert max(r.probability for r in found) == 1
-    kept = mixing.mix(df, rounds=8)
+    assert sum(r.probability * r.n_tokens for r in found) == pytest.approx(mixing.RATE * total, rel=1e-6)
+    kept = mixing.mix(df)
     assert kept.schema == df.schema
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in found if r.kept}
 
@@ -706,13 +706,37 @@ def test_given_shares(spark):
     wanted = {"source": 1.0, "lang": {"en": 1, "de": 1}, "topic": 1.0}
     found = mixing.mixed(documents(spark, data), wanted).collect()
     assert {r.lang: round(r.probability, 6) for r in found} == {"de": 1.0, "en": round(1 / 3, 6)}
+    # all of de is 30 tokens, which are not enough for half of 108 tokens and half of the sample
+    found = mixing.mixed(documents(spark, data), wanted, rate=0.9).collect()
+    assert {r.lang: round(r.probability, 6) for r in found} == {"de": 1.0, "en": round((108 - 30) / 90, 6)}
+
+
+def test_a_rare_value_moves_only_itself(spark):
+    data = [(i, "w " * 50, "de" if i % 7 == 0 else "en", "ab"[i % 3 == 0]) for i in range(200)]
+    rare = [(1000, "w w w", "en", "own")]
+    before = {r.doc_id: r.probability for r in mixing.mixed(documents(spark, data)).collect()}
+    found = {r.doc_id: r for r in mixing.mixed(documents(spark, data + rare)).collect()}
+    assert found[1000].probability == 1 and found[1000].factor > 2
+    assert all(found[i].probability == pytest.approx(p, rel=0.02) for i, p in before.items())
+    reached = {(r.margin, r.value): r for r in mixing.margins(documents(spark, data + rare)).collect()}
+    own = reached["source", "own"]
+    assert own.expected < own.target == pytest.approx(own.raked, rel=1e-4)
+
+
+def test_contradicting_targets_are_named(spark):
+    # every document of a is in de and no other, so that both cannot have their shares
+    data = [(i, "w w", "de" if i % 4 else "en", "a" if i % 4 else "b") for i in range(40)]
+    wanted = {"source": {"a": 1, "b": 1}, "lang": {"de": 3, "en": 1}, "topic": 1.0}
+    found = {(r.margin, r.value): r for r in mixing.margins(documents(spark, data), wanted).collect()}
+    off = {key for key, r in found.items() if abs(r.raked - r.target) > 1e-3}
+    assert off == {("source", "a"), ("source", "b")}
 
 
 def test_mix_odd(odd, none):
-    found = rows(mixing.mixed(odd, rounds=2))
+    found = rows(mixing.mixed(odd))
     assert len(found) == len(ODD) and all(0 <= r[6] <= 1 for r in found)
-    assert mixing.mix(odd, rounds=2).schema == odd.schema
-    assert rows(mixing.mixed(none, rounds=2)) == [] == rows(mixing.mix(none, rounds=2))
+    assert mixing.mix(odd).schema == odd.schema
+    assert rows(mixing.mixed(none)) == [] == rows(mixing.mix(none)) == rows(mixing.margins(none))
 
 
 # WARC
