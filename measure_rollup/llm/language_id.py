@@ -117,7 +117,8 @@ def learn(docs: DataFrame, size: int = SIZE, per_language: int = PER_LANGUAGE) -
     rows = docs.select("doc_id", "lang").filter("lang is not null and doc_id is not null")
     # bounded: at most per_language ids a language
     chosen = F.broadcast(sample(rows, "lang", per_language).select("doc_id").distinct())
-    texts = docs.select("doc_id", "lang", "text").filter("lang is not null and text is not null")
+    texts = docs.select("doc_id", "lang", F.make_valid_utf8("text").alias("text"))
+    texts = texts.filter("lang is not null and text is not null")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +168,7 @@ def identify(docs: DataFrame, known: Profiles) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id"), 5, 0).alias("held_out"),
-        "text",
+        F.make_valid_utf8("text").alias("text"),
     )
     schema = "doc_id long, held_out boolean, lang_pred string, score double, distance double"
     return rows.mapInArrow(run, schema)
@@ -189,8 +190,8 @@ def in_a_known_language(docs: DataFrame) -> DataFrame:
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mask = []
-            for text in batch["text"]:
-                ordered = profile(text.as_py() or "", known.size)
+            for text in batch["text"].cast(pa.binary()):
+                ordered = profile((text.as_py() or b"").decode("utf-8", "replace"), known.size)
                 mask.append(
                     bool(len(ordered))
                     and (not known.languages or bool(distances(ordered, known).min() < 1))

@@ -7,15 +7,14 @@ probability of being good. A document's quality is the mean of its lines' margin
 weighted by their length, and calibrated on the training documents.
 
 The field is trained in numpy, by gradient ascent on the likelihood of line labels, from
-at most ``rows`` documents of each label; their lines take the document's label. Only
-features of these lines, never their texts, come to the driver, from at most
-``lines`` lines of a training document (the first; longer documents are otherwise left
-whole). Every document is scored whole.
+at most ``rows`` documents of each label, and of fewer once these hold ``total`` bytes; their
+lines take the document's label. Documents are learned from and scored whole. Only
+features of training lines, never their texts, come to the driver.
 
 Features are computed on the UTF-8 bytes of many documents at once, about ``CHUNK`` bytes
 or one document at a time.
 
-Defined cases: null and empty texts have one empty line. Without labelled documents of
+Defined cases: texts are read as bytes, damaged UTF-8 too. Null and empty texts have one empty line. Without labelled documents of
 both labels every score is the share of good ones, or 0.5 without any. Rows without an
 id are scored, held out and not learned from. Repeated rows are scored each; repeated
 labels are used as often as they come. Empty tables give empty results. Other columns
@@ -32,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from measure_rollup.llm.samples import held_out, sample
+from measure_rollup.llm.samples import held_out, sample, within
 
 ROWS = 1_500
-LINES = 200
+TOTAL = 10_000_000  # bytes of a label's documents to learn from
 CHUNK = 1 << 20
 STEPS = 300
 OWN = 14  # features of a line
@@ -254,7 +253,7 @@ def chunks(texts: Iterable[bytes], size: int = CHUNK) -> Iterator[list[bytes]]:
         yield found
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, lines: int = LINES) -> Field:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, total: int = TOTAL) -> Field:
     """A field from a sample of the documents that are not held out."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)")
@@ -266,8 +265,8 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, lines: int = LIN
             for doc_id, label, text in zip(
                 batch["doc_id"].to_pylist(), batch["label"].to_pylist(), batch["text"].to_pylist()
             ):
-                features, lengths, _ = line_features([text.encode()])
-                part = np.column_stack((features[:lines], lengths[:lines])).astype(np.float32)
+                features, lengths, _ = line_features([text])
+                part = np.column_stack((features, lengths)).astype(np.float32)
                 out.append((doc_id, label, part.tobytes()))
             columns = zip(*out) if out else [()] * 3
             types = (pa.int64(), pa.int32(), pa.binary())
@@ -275,12 +274,12 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, lines: int = LIN
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "label", "lines"]
             )
 
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     found = (
-        texts.join(chosen, "doc_id")
+        within(texts.join(chosen, "doc_id").withColumn("size", F.octet_length("text")), "label", "size", total)
         .select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
         .mapInArrow(describe, "doc_id long, label int, lines binary")
-        .toPandas()  # at most rows documents of each label, lines lines each
+        .toPandas()  # at most rows documents of each label, of about total bytes together
         .sort_values(["doc_id", "label", "lines"])
     )
     parts = [np.frombuffer(x, np.float32).reshape(-1, OWN + 1) for x in found["lines"]]
@@ -302,7 +301,7 @@ def score_quality(docs: DataFrame, field: Field, threshold: float = 0.3) -> Data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = (text.as_py().encode() for text in batch["text"])
+            texts = (text.as_py() for text in batch["text"])
             scores = np.concatenate([*score(texts, field), np.zeros(0)])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -317,7 +316,7 @@ def score_quality(docs: DataFrame, field: Field, threshold: float = 0.3) -> Data
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id"), 5, 0).alias("held_out"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 

@@ -119,7 +119,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096)
     """
     spark = docs.sparkSession
     version = version_of(tokenizer)
-    content = F.coalesce("text", F.lit(""))
+    content = F.make_valid_utf8(F.coalesce("text", F.lit("")))
     rows = docs.select(
         F.col("doc_id").alias("doc_id"),
         F.octet_length(content).cast("long").alias("n_bytes"),
