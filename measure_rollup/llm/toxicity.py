@@ -9,16 +9,19 @@ A run of more than ``LONG`` word characters (texts without spaces, words joined
 underscores) is read whole, as half-overlapping pieces of ``PIECE`` that each count as a word.
 
 Training knows the documents' labels only. It takes at most ``rows`` documents of each
-label and at most ``length`` characters long (only in training; scoring reads whole
-texts of any length). One dimension of an embedding says how much more often the bucket occurs
-in toxic documents; while the network is trained, windows are read with what the other
-half of the documents says, as later texts will be. In each round the worst window of every toxic document serves as positive,
-and the worst and some random windows of the others as negative.
+label, and fewer once these hold ``total`` characters, each of them whole. All weights, embeddings
+included, start at random and are learned by gradients alone: a fourth of a step's windows are
+drawn from toxic documents, evenly by document, the others from the clean ones, and some words
+are blanked out; every other step knows words by their n-grams only, as it will be with unseen ones, and a fourth of the documents is read
+a second time as one run without spaces. Most windows of a toxic document are harmless; what they share with clean
+ones cancels out, and what is left is what makes documents toxic. Embeddings are stepped by one scale for the
+whole table, not by entry, so that a word seen once is not learned by heart. Scores are calibrated on
+a fourth of the documents, by a network that has not seen them.
 
 In a task, the inputs of up to ``MEMORY`` words are kept, already multiplied with the
 network's input weights.
 
-Defined cases: null text, empty text and text without words score as the least toxic
+Defined cases: damaged UTF-8 is read with replacement characters. Null text, empty text and text without words score as the least toxic
 training document does. Without labelled documents of both labels every score is the share of toxic ones, or 0.
 Rows without an id are scored, held out and not learned from. Repeated rows are scored
 each. Empty tables give empty results. Other columns are not read.
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from measure_rollup.llm.samples import held_out, sample
+from measure_rollup.llm.samples import held_out, sample, within
 
 WINDOW = 24
 STRIDE = WINDOW // 2
@@ -46,9 +49,12 @@ WORD_DIM, GRAM_DIM, HIDDEN = 6, 10, 8
 INPUT = WORD_DIM + GRAM_DIM
 GATES = 3 * HIDDEN
 ROWS = 1_000
-LENGTH = 20_000
-ROUNDS, STEPS, BATCH = 4, 90, 128  # steps a round; windows a step, a fourth of them positive
-EMBEDDING_RATE = 0.05  # of the other weights' rate: rare words are not to be learned by heart
+TOTAL = 20_000_000  # characters of a label's documents to learn from
+STEPS, BATCH = 400, 128  # windows a step, a fourth of them from toxic documents
+RATE, EMBEDDING_RATE = 0.02, 0.5  # of a weight; of a whole table of embeddings
+BLANK = 0.1  # of the words, in training
+DECAY = 1e-3  # of the embeddings a step uses
+SEEN = 0.98  # of the past, in the mean of squared gradients
 MEMORY = 150_000
 CHUNK = 150_000  # words scored at once
 
@@ -262,27 +268,6 @@ def initial(rng) -> Weights:
     return weights
 
 
-def _leanings(texts: list[np.ndarray], labels: np.ndarray, used: np.ndarray, known: Vocabulary, added: float) -> tuple[np.ndarray, np.ndarray]:
-    """How much more often buckets occur in toxic documents, as log odds over 3, from -1 to 2.
-
-    ``added`` documents in the labels' proportions are put in, so that what is unseen leans nowhere.
-    """
-    sizes = np.append(known.starts[1:], len(known.grams)) - known.starts
-    seen = {1: (np.zeros(WORDS), np.zeros(GRAMS)), 0: (np.zeros(WORDS), np.zeros(GRAMS))}
-    for ids, label in ((texts[k], labels[k]) for k in np.flatnonzero(used)):
-        own = np.unique(ids)
-        words, grams = seen[int(label)]
-        words[np.unique(known.words[own])] += 1
-        if len(own):
-            spans = [known.grams[known.starts[i] : known.starts[i] + sizes[i]] for i in own]
-            grams[np.unique(np.concatenate(spans))] += 1
-    share = min(max(float(labels[used].mean()), 1e-3), 1 - 1e-3)
-    odds = (
-        np.log((seen[1][k] / share + added) / (seen[0][k] / (1 - share) + added)) for k in (0, 1)
-    )
-    return tuple(np.clip(x / 3, -1, 2).astype(np.float32) for x in odds)
-
-
 def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all windows, their lengths, and the text each belongs to."""
     rows, lengths, owners = [], [], []
@@ -308,80 +293,81 @@ def train(texts: list[str], labels: np.ndarray, toxic: float | None = None, seed
         share = float(labels.mean()) if len(labels) else 0.0
         zero = initial(np.random.default_rng(seed))
         return Network(zero, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0)
-    rng = np.random.default_rng(seed)
+    n = len(labels)
+    turn = np.zeros(n, int)
+    for label in (0, 1):
+        turn[labels == label] = np.arange((labels == label).sum()) % 4
+    aside = turn == 3
+    # a fourth is read without spaces too, since some texts have none
+    read = [words_of(t) for t in texts]
+    joined = np.flatnonzero(turn == 1)
+    read += [words_of("_".join(read[k])) for k in joined]
+    labels = np.concatenate((labels, labels[joined]))
     index: dict[str, int] = {"": 0}
-    coded = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], int) for t in texts]
+    coded = [np.array([index.setdefault(w, len(index)) for w in words], int) for words in read]
     known = vocabulary(index)
-    fold = np.zeros(len(coded), int)
-    for label in (0, 1):
-        fold[labels == label] = np.arange((labels == label).sum()) % 2
-    start = initial(rng)
-    # the windows of either fold are read with the leanings of the other
-    nets = [_leaning(start, _leanings(coded, labels, fold != f, known, 2)) for f in (0, 1)]
-    ids, lengths, owners = _windows(coded)
-    inside = np.arange(WINDOW) < lengths[:, None]
-    worst = np.empty(len(ids), np.float32)
-    for f in (0, 1):
-        own = np.flatnonzero(fold[owners] == f)
-        x = inputs(known, nets[f])
-        worst[own] = np.where(inside[own], (x[:, 0] + x[:, WORD_DIM])[ids[own]], -9).max(axis=1)
-    of_label = labels[owners]
-    moments: list[Weights] = [{}, {}]
-    for round_ in range(ROUNDS):
-        by_worst = np.lexsort((-worst, owners))
-        place = np.arange(len(owners)) - np.searchsorted(owners[by_worst], owners[by_worst])
-        for f in (0, 1):
-            usable = (fold[owners] == f) & (lengths > 0)
-            mine = usable[by_worst]
-            first, label = place[mine], of_label[by_worst][mine]
-            positive = by_worst[mine][(first < 1) & (label == 1)]
-            hard = by_worst[mine][(first < 2) & (label == 0)]
-            other = np.flatnonzero(usable & (of_label == 0))
-            if not len(positive) or not len(other):
-                continue
-            for _ in range(STEPS // 2):
-                rows = np.concatenate(
-                    (rng.choice(positive, BATCH // 4), rng.choice(hard, BATCH // 2), rng.choice(other, BATCH // 4))
-                )
-                batch = ids[rows]
-                again = slice(-BATCH // 16, None)
-                batch[again] = batch[again, :1]  # one word again and again is not toxic either
-                share = np.where(of_label[rows] == 1, 2.0, 2 / 3).astype(np.float32)
-                found = gradients(batch, _mask(lengths[rows]), of_label[rows], share, known, nets[f])[0]
-                _step(nets[f], found, moments[f], 0.03 / (1 + round_))
-        for f in (0, 1):
-            own = np.flatnonzero(fold[owners] == f)
-            worst[own] = _all_logits(ids[own], lengths[own], known, nets[f])
-    top = np.full(len(texts), -np.inf)
-    np.maximum.at(top, owners, worst)
-    scale, shift = _calibrate(top, labels, toxic or float(labels.mean()))
-    # of all documents, not much stronger than that of half of them, which the network knows
-    weights = _leaning(nets[0], _leanings(coded, labels, fold >= 0, known, 3))
-    for name in ("words", "grams"):
-        weights[name][:, 1:] = (nets[0][name][:, 1:] + nets[1][name][:, 1:]) / 2
+    windows = _windows(coded)
+    weights = _fitted(windows, labels, np.ones(len(coded), bool), known, seed)
+    top = _tops(windows, len(coded), known, weights)[:n]
+    judged, told = top, labels[:n]
+    if len(np.unique(told[aside])) == 2:  # else too few for a part of their own
+        others = np.append(~aside, np.ones(len(joined), bool))
+        judged = _tops(windows, len(coded), known, _fitted(windows, labels, others, known, seed))[:n][aside]
+        told = told[aside]
+    scale, shift = _calibrate(judged, told, toxic or float(labels[:n].mean()))
     return Network(weights, scale, shift, float(top.min()))
 
 
-def _leaning(weights: Weights, lean: tuple[np.ndarray, np.ndarray]) -> Weights:
-    """The same network, but with embeddings of its own that lean so."""
-    words, grams = weights["words"].copy(), weights["grams"].copy()
-    words[:, 0], grams[:, 0] = lean
-    return weights | {"words": words, "grams": grams}
+def _fitted(windows, labels: np.ndarray, used: np.ndarray, known: Vocabulary, seed: int) -> Weights:
+    """Weights learned from the windows of the ``used`` documents."""
+    ids, lengths, owners = windows
+    rng = np.random.default_rng(seed)
+    weights = initial(rng)
+    of_label = labels[owners]
+    usable = (lengths > 0) & used[owners]
+    clean = np.flatnonzero(usable & (of_label == 0))
+    toxic = np.unique(owners[usable & (of_label == 1)])
+    if not len(clean) or not len(toxic):
+        return weights
+    first, number = np.searchsorted(owners, toxic), np.bincount(owners)[toxic]
+    past: dict[str, float | np.ndarray] = {}
+    for step in range(STEPS):
+        pick = rng.integers(len(toxic), size=BATCH // 4)
+        rows = first[pick] + (rng.random(len(pick)) * number[pick]).astype(int)
+        rows = np.concatenate((rows, rng.choice(clean, BATCH - len(rows))))
+        batch = np.where(rng.random((BATCH, WINDOW)) < BLANK, 0, ids[rows])
+        share = np.where(of_label[rows] == 1, 2.0, 2 / 3).astype(np.float32)
+        # every other step reads words as if they were unseen, by their characters alone
+        read = known._replace(words=rng.integers(WORDS, size=len(known.words))) if step % 2 else known
+        found = gradients(batch, _mask(lengths[rows]), of_label[rows], share, read, weights)[0]
+        if step % 2:
+            del found["words"]
+        _step(weights, found, past, step + 1, RATE * (1 - step / STEPS))
+    return weights
+
+
+def _tops(windows, n: int, known: Vocabulary, weights: Weights) -> np.ndarray:
+    """Largest logit of each text's windows."""
+    ids, lengths, owners = windows
+    top = np.full(n, -np.inf)
+    np.maximum.at(top, owners, _all_logits(ids, lengths, known, weights))
+    return top
 
 
-def _step(weights: Weights, found, moments, rate: float) -> None:
-    """Adagrad; embeddings only where the batch has them."""
+def _step(weights: Weights, found, past: dict[str, float | np.ndarray], step: int, rate: float) -> None:
+    """Gradients over the root of their mean square: of each weight, and of a table of embeddings as a whole."""
     for name, g in found.items():
-        past = moments.setdefault(name, np.full(weights[name].shape, 1e-6, np.float32))
         if isinstance(g, tuple):
             rows, inverse = np.unique(g[0], return_inverse=True)
             total = np.zeros((len(rows), g[1].shape[1]), np.float32)
             np.add.at(total, inverse, g[1])
-            past[rows] += total * total
-            weights[name][rows] -= EMBEDDING_RATE * rate * total / np.sqrt(past[rows])
+            past[name] = SEEN * past.get(name, 0.0) + (1 - SEEN) * float((total * total).sum())
+            size = np.sqrt(past[name] / (1 - SEEN**step)) + 1e-12
+            rise = EMBEDDING_RATE * rate / RATE
+            weights[name][rows] = (1 - DECAY) * (weights[name][rows] - rise * total / size)
         else:
-            past += g * g
-            weights[name] -= (rate * g / np.sqrt(past)).astype(np.float32)
+            past[name] = SEEN * past.get(name, 0.0) + (1 - SEEN) * g * g
+            weights[name] -= (rate * g / (np.sqrt(past[name] / (1 - SEEN**step)) + 1e-6)).astype(np.float32)
 
 
 def _all_logits(ids, lengths, known: Vocabulary, weights: Weights) -> np.ndarray:
@@ -491,19 +477,18 @@ class Scorer:
         return (1 / (1 + np.exp(-raw))).tolist()
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, length: int = LENGTH) -> Network:
+def learn(docs: DataFrame, labels: DataFrame, rows: int = ROWS, total: int = TOTAL) -> Network:
     """A network from a sample of the documents that are not held out."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label"))
     known = known.filter("doc_id is not null and label in (0, 1)")
     known = known.filter(~held_out(F.col("doc_id"), 3, 1))
-    short = docs.filter(F.length("text") <= length).select("doc_id")
-    chosen = F.broadcast(sample(known.join(short, "doc_id", "left_semi"), "label", rows))
+    present = docs.filter("text is not null").select("doc_id")
+    chosen = F.broadcast(sample(known.join(present, "doc_id", "left_semi"), "label", rows))
+    texts = docs.select("doc_id", F.make_valid_utf8("text").alias("text")).filter("text is not null")
     found = (
-        docs.select("doc_id", "text")
-        .filter(F.length("text") <= length)
-        .join(chosen, "doc_id")
+        within(texts.join(chosen, "doc_id").withColumn("size", F.length("text")), "label", "size", total)
         .select("doc_id", "label", "text")
-        .toPandas()  # at most rows texts of each label, of at most length characters
+        .toPandas()  # at most rows texts of each label, of about total characters together
         .sort_values(["doc_id", "label", "text"])
     )
     toxic = known.agg(F.avg("label")).first()[0]
@@ -531,7 +516,7 @@ def score_toxicity(docs: DataFrame, network: Network, threshold: float = 0.7) ->
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id"), 3, 1).alias("held_out"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text"),
     )
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 

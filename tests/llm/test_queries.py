@@ -8,10 +8,11 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
-from measure_rollup.llm import language_id, mixing, queries
+from measure_rollup.llm import language_id, mixing, queries, toxicity
 from test_small_cases import _brute_vectors, _exact, _near, _packed
 
 TABLES = Path("/root/testdata")
@@ -228,3 +229,19 @@ def test_language_profiles_are_bounded(spark):
     docs = spark.read.parquet(str(SMALL / "documents.parquet"))
     known = language_id.learn(docs, size=50, per_language=5)
     assert known.ranks.shape[1] == 4 and (known.ranks.max(axis=0) == 49).all()
+
+
+def test_the_network_alone_tells_toxic_documents():
+    """Learned from words and gradients only, no counts: held-out documents of sf0.1, a tenth of whose labels are noise."""
+    folder = "/root/testdata/sf0.1"
+    docs = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    labels = pq.read_table(f"{folder}/labels.parquet", columns=["doc_id", "toxic"]).to_pydict()
+    label = dict(zip(labels["doc_id"], labels["toxic"]))
+    found = [(i, t or "", label[i]) for i, t in zip(docs["doc_id"], docs["text"]) if label.get(i) is not None]
+    learned = [r for r in found if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    network = toxicity.train([t for _, t, _ in learned], np.array([x for *_, x in learned]))
+    others = [r for r in found if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    scores = np.array(list(toxicity.Scorer(network).scores([t for _, t, _ in others])))
+    toxic = np.array([x for *_, x in others]) == 1
+    above = (scores[toxic][:, None] > scores[~toxic]).mean() + (scores[toxic][:, None] == scores[~toxic]).mean() / 2
+    assert above >= 0.9

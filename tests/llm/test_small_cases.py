@@ -22,6 +22,7 @@ from measure_rollup.llm import (
     near_dedup,
     packing,
     quality,
+    samples,
     token_counts,
     toxicity,
     warc,
@@ -812,3 +813,54 @@ def test_block_with_a_border_is_marked(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a", "x\r\n\r\nWARC/1.0\r\ny", None, None)], PAGE)
     warc.write_records(warc.responses(pages), str(tmp_path / "w"))
     assert {r.whole for r in warc.read_records(spark, str(tmp_path / "w")).collect()} == {False}
+
+
+# samples and damaged texts
+
+
+def test_sample_is_the_lowest_hashes_of_each_label(spark):
+    rows_ = [(i, "hot" if i % 3 else "cold") for i in range(4000)] + [(-1, "rare"), (5, None)]
+    df = spark.createDataFrame(rows_, "doc_id long, label string").withColumn("order", F.xxhash64("doc_id"))
+    found = samples.sample(df, "label", 50)
+    everything = df.collect()
+    for label, size in (("hot", 50), ("cold", 50), ("rare", 1)):
+        expected = sorted(r.order for r in everything if r.label == label)[:size]
+        assert sorted(r.order for r in found.filter(F.col("label") == label).collect()) == expected
+    assert found.count() == 101 and found.columns == df.columns
+
+
+def test_sample_drops_rows_before_the_shuffle(spark, capsys):
+    df = spark.range(100_000).selectExpr("id as doc_id", "1 as label")
+    samples.sample(df, "label", 1500).explain("formatted")
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    window, exchange = plan.index("Window"), plan.index("Exchange hashpartitioning")
+    assert window < exchange  # the tree: the window reads the exchange, which reads the filtered rows
+    assert "BroadcastHashJoin" in plan[exchange:]
+
+
+def test_total_keeps_documents_whole(spark):
+    df = spark.createDataFrame([(i, 1, 10 if i else 1000) for i in range(100)], "doc_id long, label int, size long")
+    order = [r.doc_id for r in df.orderBy(F.xxhash64("doc_id")).collect()]
+    for total in (1, 95, 10_000):
+        expected, so_far = set(), 0
+        for i in order:
+            if so_far < total:
+                expected.add(i)
+            so_far += 10 if i else 1000
+        assert {r.doc_id for r in samples.within(df, "label", "size", total).collect()} == expected
+
+
+def test_damaged_texts_are_read(spark):
+    texts = [b"good words of a text " * 9, b"bad \xff\xfe words \xc3", b"\xff", b"idiot " * 30, b"calm \xe4 and quiet"]
+    made = [(i, t, "en", "a") for i, t in enumerate(texts * 12)]
+    df = spark.createDataFrame(made, "doc_id long, bytes binary, lang string, source string")
+    df = df.select("doc_id", F.col("bytes").cast("string").alias("text"), "lang", "source")
+    labels = _labels(spark, [(i, int(i % 5 != 1), int(i % 5 == 3), "") for i in range(60)])
+    assert quality.quality_of(df, labels).count() == 60
+    assert toxicity.toxicity_of(df, labels).count() == 60
+    assert language_id.language_of(df).count() == 60
+    kept = {r.doc_id for r in language_id.in_a_known_language(df).select("doc_id").collect()}
+    assert {i for i in range(60) if i % 5 != 2} <= kept
+    cache = new_folder(spark, "damaged")
+    counted = {r.doc_id: r.n_bytes for r in token_counts.count_tokens(df, PIECES, cache).collect()}
+    assert len(counted) == 60 and counted[2] == 3  # the replacement character
