@@ -41,7 +41,9 @@ def sample(labelled: DataFrame, label: str, rows: int) -> DataFrame:
         .drop("_size")
     )
     order = Window.partitionBy(label).orderBy("_order", "doc_id")
-    return low.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows).drop("_order", "_rank")
+    return low.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows).select(
+        *labelled.columns
+    )
 
 
 def within(chosen: DataFrame, label: str, length: str, total: int) -> DataFrame:
