@@ -21,11 +21,13 @@ Verification: within a bucket every member is first aligned with the bucket's sm
 member. That leaves pairs of members that are not (yet) connected: they are aligned too, each
 member with those likely nearest to it first and then, of what is still apart, all pairs, block
 by block of a bucket. No pair is aligned whose lengths or word counts
-(folded into ``FOLDS`` bins) alone prove it too far apart. Links are verified, so shared passages alone do not
-link. Groups are the connected components of the links.
+(folded into ``FOLDS`` bins) alone prove it too far apart. What has no possible pair
+with a member of another component is compared once only: components only grow together. Links are
+verified, so shared passages alone do not link. Groups are the connected components of the links.
 
-No bucket is collected whole: minima are combined before the shuffle, and a bucket of
-many unconnected members is compared in pairs of blocks of at most ``BLOCK``.
+No bucket is collected whole: minima are combined before the shuffle, and a bucket of more than
+``BLOCK`` members is compared in pairs of blocks of about as many. Blocks of the bucket's largest
+component only meet those of its other members, so a large group of near copies is not copied for itself.
 
 Defined cases: null and empty texts have no words; they are one class of exact copies.
 Texts of less than five words match their copies only, and one of four its like of five words: a
@@ -55,7 +57,9 @@ SIMILARITY = 0.8
 K = 2
 SAMPLED = 3
 SKETCHES = 96
-FOLDS = 128
+FOLDS = 1024
+COARSE = 128  # bins of a first look at pairs; FOLDS is a multiple of it
+NEAREST = 8  # members that each member is aligned with before all are
 BLOCK = 4_096
 SLICE = 1 << 20  # pairs of a block that are looked at at once
 SHORT = 14  # words of a text for which all rests are named; from 15 on there are 576 and more
@@ -215,8 +219,8 @@ def least_distance(size_a, bins_a, size_b, bins_b) -> np.ndarray:
     at least the sum of one side's surplus; folding and capping only lower it.
     """
     surplus = bins_a.astype(np.int16) - bins_b.astype(np.int16)
-    more = np.where(surplus > 0, surplus, 0).sum(axis=-1)
-    less = np.where(surplus < 0, -surplus, 0).sum(axis=-1)
+    more = np.maximum(surplus, 0).sum(axis=-1)
+    less = more - surplus.sum(axis=-1)
     return np.maximum(np.abs(size_a - size_b), np.maximum(more, less))
 
 
@@ -359,7 +363,8 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _unconnected(nearest: int):
     """Possible pairs of different components, of rows sorted by bucket and pair of blocks.
 
-    All of them, or of each member only the ``nearest`` ones, as the bound has it.
+    All of them, or of each member only the ``nearest`` ones, as the bound has it, and then also every
+    member of a bucket that is in a possible pair there: with the bucket's name, and no ``b``.
     """
     columns = ["name", "pair", "second", "same", "doc_id", "component", "size", "bins"]
 
@@ -367,34 +372,44 @@ def _unconnected(nearest: int):
         plain = [batch[c].to_numpy(zero_copy_only=False) for c in columns[:-1]]
         return [*plain, _bins(batch["bins"])]
 
+    def found(a, b, name=None) -> pa.RecordBatch:
+        none = pa.nulls(len(a), pa.int64())
+        names = none if name is None else pa.array(np.full(len(a), name))
+        return pa.RecordBatch.from_arrays([names, pa.array(a), none if b is None else pa.array(b)], names=["name", "a", "b"])
+
     def compare(rows):
-        _, _, second, same, ids, component, size, bins = rows
+        names, _, second, same, ids, component, size, bins = rows
         one, other = (~second, second) if not same[0] else (slice(None), slice(None))
-        columns = (ids, component, size, bins)
-        (ids_a, component_a, size_a, bins_a), (ids_b, component_b, size_b, bins_b) = (
+        coarse = bins.reshape(len(ids), COARSE, -1).sum(axis=2, dtype=np.int16)
+        columns = (ids, component, size, bins, coarse)
+        (ids_a, component_a, size_a, bins_a, coarse_a), (ids_b, component_b, size_b, bins_b, coarse_b) = (
             [column[side] for column in columns] for side in (one, other)
         )
         step = max(1, SLICE // max(1, len(ids_b)))
         for start in range(0, len(ids_a), step):  # whole rows, so that each member's nearest are seen
-            i, j = np.nonzero(component_a[start : start + step, None] != component_b[None, :])
+            some = slice(start, start + step)
+            near = np.abs(size_a[some, None] - size_b[None, :]) <= allowed(size_a[some, None], size_b[None, :])
+            i, j = np.nonzero(near & (component_a[some, None] != component_b[None, :]))
             i += start
-            found = []
-            for at in range(0, len(i), 1 << 16):
-                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            possible = []
+            for at in range(0, len(i), 1 << 14):
+                x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                good = may_match(size_a[x], coarse_a[x], size_b[y], coarse_b[y])
+                x, y = x[good], y[good]
                 least = least_distance(size_a[x], bins_a[x], size_b[y], bins_b[y])
                 good = least <= allowed(size_a[x], size_b[y])
-                found.append((x[good], y[good], least[good]))
-            if not found:
+                possible.append((x[good], y[good], least[good]))
+            if not possible:
                 continue
-            x, y, least = (np.concatenate(part) for part in zip(*found))
-            if nearest:
+            x, y, least = (np.concatenate(part) for part in zip(*possible))
+            if nearest and len(x):
+                yield found(np.unique(np.concatenate((ids_a[x], ids_b[y]))), None, names[0])
                 order = np.lexsort((ids_b[y], least, x))
                 x, y = x[order], y[order]
                 near = np.arange(len(x)) - np.searchsorted(x, x) < nearest
                 x, y = x[near], y[near]
             a, b = ids_a[x], ids_b[y]
-            pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            yield found(*np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] | None = None
@@ -417,24 +432,43 @@ def _unconnected(nearest: int):
 
 
 def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame, nearest: int = 0) -> DataFrame:
-    """Possible pairs of bucket members that are not connected yet."""
+    """Possible pairs of bucket members that are not connected yet, as :func:`_unconnected` gives them."""
     known = nodes.join(member, nodes.doc_id == member.node, "left").select(
         "doc_id", "size", "bins", F.coalesce("component", "doc_id").alias("component")
     )
     of = known.select("doc_id", "component")
-    rows = rows.filter("n > 2").select("doc_id", "name", "n")  # of two, the only pair was aligned
+    rows = rows.filter("n > 2").select("doc_id", "name")  # of two, the only pair was aligned
     mixed = (
         rows.join(of, "doc_id")
+        .groupBy("name", "component")
+        .agg(F.count("*").alias("n"))
         .groupBy("name")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("n").alias("n"))
-        .filter("low <> high")
-        .select("name", F.ceil(F.col("n") / BLOCK).cast("long").alias("parts"))
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("components"))
+        .filter("components > 1")
+        .select(
+            "name",
+            F.col("largest.component").alias("largest"),
+            # blocks of the largest component, whose members need not meet each other, and of the others
+            F.when(F.col("n") > BLOCK, F.ceil(F.col("largest.n") / BLOCK)).otherwise(0).cast("long").alias("own"),
+            F.when(F.col("n") > BLOCK, F.ceil((F.col("n") - F.col("largest.n")) / BLOCK))
+            .otherwise(1)
+            .cast("long")
+            .alias("others"),
+        )
     )
+    own = (F.col("own") > 0) & (F.col("component") == F.col("largest"))
+    place = F.xxhash64("doc_id")
     placed = (
-        rows.select("doc_id", "name")
+        rows.join(of, "doc_id")
         .join(mixed, "name")
-        .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .withColumn("parts", F.col("own") + F.col("others"))
+        .withColumn(
+            "part", F.when(own, F.pmod(place, F.col("own"))).otherwise(F.col("own") + F.pmod(place, F.col("others")))
+        )
+        .withColumn(
+            "other",
+            F.explode(F.sequence(F.when(own, F.col("own")).otherwise(F.lit(0).cast("long")), F.col("parts") - 1)),
+        )
         .select(
             "name",
             (F.least("part", "other") * F.col("parts") + F.greatest("part", "other")).alias("pair"),
@@ -447,7 +481,7 @@ def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame, nearest: int = 0
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = placed.join(known, "doc_id").repartition(tasks, "name", "pair").sortWithinPartitions("name", "pair")
     return dealt.select("name", "pair", "second", "same", "doc_id", "component", "size", "bins").mapInArrow(
-        _unconnected(nearest), "a long, b long"
+        _unconnected(nearest), "name long, a long, b long"
     ).distinct()
 
 
@@ -488,15 +522,20 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     links = aligned(tried, "links")
     member = stored(components(links), "members")
-    for nearest, name in ((1, "nearest"), (8, "near"), (0, "rest")):
+    for nearest, name in ((NEAREST, "near"), (0, "rest")):
         # first what is likely to connect; then, of what is still apart, everything
-        pairs = stored(_rest(shared, nodes, member, nearest).join(tried, ["a", "b"], "left_anti"), name)
+        found = stored(_rest(shared, nodes, member, nearest), f"{name}-found")
+        pairs = stored(found.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), name)
+        if nearest:
+            scratch.remove("shared")
+        # the others have nothing left to be compared with; two members may be a pair not aligned yet
+        shared = found.filter("b is null").select(F.col("a").alias("doc_id"), "name", F.lit(3).cast("long").alias("n"))
         more = aligned(pairs, f"{name}-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             member = stored(components(links), f"{name}-members")
         tried = tried.unionByName(pairs)
-    scratch.remove("shared", "first", "nodes")
+    scratch.remove("first", "nodes")
     groups = classes.join(member, classes.class_id == member.node, "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("group_id")
     )

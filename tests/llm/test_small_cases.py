@@ -555,6 +555,55 @@ def test_unconnected_members_are_compared(spark, monkeypatch):
     assert pairs == expected
 
 
+def test_bounds_tell_apart_texts_that_share_one_repeated_run():
+    """What repeats fills few bins; the words that differ must not fall together in the others."""
+    hasher = near_dedup.Hasher()
+    a, b = ([f"{x}{i}" for i in range(218)] + ["is", "onhe."] * 300 for x in "ab")
+    assert near_dedup.distance_within(a, b, int(near_dedup.allowed(len(a), len(b)))) is None
+    bins = [np.frombuffer(near_dedup.folded(hasher(x)), np.uint8) for x in (a, b)]
+    assert not near_dedup.may_match(np.int64(len(a)), bins[0], np.int64(len(b)), bins[1])
+
+
+def _one_bucket(spark, data, member):
+    nodes = documents(spark, data).select("doc_id", "text")
+    sketched = nodes.mapInArrow(near_dedup._describe, near_dedup._SKETCHED)
+    size = F.lit(len(data)).cast("long").alias("n")
+    shared = sketched.select("doc_id", F.lit(1).cast("long").alias("name"), size)
+    return shared, sketched, spark.createDataFrame(member, "node long, component long")
+
+
+def test_a_connected_group_is_not_copied_for_its_own_blocks(spark, monkeypatch):
+    """Of 404 members 400 are one component: in blocks of 4 each of them only meets the block of the others."""
+    import pyarrow as pa
+
+    def seen(nearest):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch["name"], batch["doc_id"], batch["pair"]], names=["name", "a", "b"])
+
+        return run
+
+    data = [(i, f"w{i} " * 20) for i in range(404)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "_unconnected", seen)
+    rest = near_dedup._rest(*_one_bucket(spark, data, [(i, 0) for i in range(400)]))
+    by_pair = defaultdict(set)
+    for r in rest.collect():
+        by_pair[r.b].add(r.a)
+    assert sum(map(len, by_pair.values())) <= 400 + 4 * 101  # 404 * 101 before
+    met = {(x, y) for ids in by_pair.values() for x in ids for y in ids}
+    assert all((x, y) in met for x in range(400, 404) for y in range(404))
+
+
+def test_members_without_a_possible_pair_are_compared_once(spark):
+    base = [f"w{i}" for i in range(40)]
+    data = [(i, " ".join(base[: 40 - i])) for i in range(4)] + [(10 + i, f"x{i} " * 40) for i in range(12)]
+    found = near_dedup._rest(*_one_bucket(spark, data, []), nearest=1).collect()
+    assert sorted(r.a for r in found if r.b is None) == [0, 1, 2, 3]
+    assert {r.name for r in found if r.b is None} == {1}
+    assert {(r.a, r.b) for r in found if r.b is not None} >= {(0, 1), (1, 2), (2, 3)}
+
+
 def test_near_odd(odd, none):
     found = rows(near_dedup.near_groups(odd))
     assert len(found) == len(ODD)
