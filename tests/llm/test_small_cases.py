@@ -181,6 +181,17 @@ def test_encoder_equals_library():
         assert list(np.frombuffer(encoder(text), "<u4")) == ids, repr(text)
 
 
+def test_encoder_keeps_parts_not_words():
+    """Capitals and marks around a word cost no memory and no encoding of their own."""
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(WORDS), packing.Encoder(WORDS)
+    text = "Été the, The. THE! (the) don't\tDON'T: 42 été,\r\nÉTÉ; the's ÿ ß ĳ"
+    assert list(np.frombuffer(encoder(text), "<u4")) == library.encode(text, add_special_tokens=False).ids
+    assert not encoder.words and {"the", "été", "don", "'t", "'s", "4"} < set(encoder.parts)
+    assert not any(part != part.lower() for part in encoder.parts)
+
+
 def test_difference_is_a_partition_and_near_equal():
     draw = random.Random(4)
     for _ in range(50):
