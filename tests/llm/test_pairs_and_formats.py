@@ -105,6 +105,22 @@ def both():
     return token_alignment.Pair(BYTES, PIECES)
 
 
+def test_known_segments_are_bounded_and_keep_what_comes_again(both, monkeypatch):
+    """Beyond ``MEMORY`` those that came once are forgotten; what came again is not encoded anew."""
+    monkeypatch.setattr(token_alignment, "MEMORY", 50)
+    both.forget()
+    both.learn({" often", " also"})
+    for n in range(20):
+        asked = {" often", " also", *(f" word{n}x{i}" for i in range(20))}
+        kept = both.known[" often"]
+        both.learn(asked)
+        assert both.known[" often"] is kept and asked <= both.known.keys() and len(both.known) <= 50
+    both.learn({f" many{i}" for i in range(80)} | {" often"})
+    assert {f" many{i}" for i in range(80)} | {" often"} <= both.known.keys()
+    both.forget()
+    assert not both.known and not both.again
+
+
 def _tokens(both, text):
     """Ids and byte ranges of whole texts, by the libraries; None if they do not give it back."""
     found = []
