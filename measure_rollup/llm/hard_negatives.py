@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from measure_rollup.sources import new_folder
+from measure_rollup.llm.scratch import Scratch
+from measure_rollup.sources.shared import settle
 
 BLOCK = 8_192  # rows a task holds
 CHUNK = 4_096  # anchors a task holds
@@ -269,20 +270,29 @@ def _search(rows: DataFrame, anchors: DataFrame, size: int, same: bool, block: i
     """
     group = F.col("label") if same else F.lit(0).cast("long")
     rows, anchors = rows.withColumn("group", group), anchors.withColumn("group", group)
-    groups = (
-        rows.groupBy("group")
-        .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        .join(anchors.groupBy("group").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")), "group")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
+    if same:
+        groups = (
+            rows.groupBy("group")
+            .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+            .join(anchors.groupBy("group").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")), "group")
+        )
+        # computed once, for both sides
+        groups = settle(groups).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    else:  # one group, whose numbers need no join
+        asking = anchors.count()
+        numbers = {"blocks": max(1, -(-rows.count() // block)), "chunks": max(1, -(-asking // chunk))}
+        rows = rows if asking else rows.limit(0)
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         """With a place among the blocks of its own kind, once for each block of the other."""
-        salted = df.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit("salt")), F.lit(SALTS)).cast("int"))
         place = F.pmod(F.xxhash64("vec_id", F.lit(own)), F.col(own).cast("long")).cast("int")
+        if same:
+            salted = df.withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit("salt")), F.lit(SALTS)).cast("int"))
+            numbered = salted.join(groups, ["group", "salt"])
+        else:
+            numbered = df.withColumns({name: F.lit(number) for name, number in numbers.items()})
         return (
-            salted.join(groups, ["group", "salt"])
-            .withColumn(own[:-1], place)
+            numbered.withColumn(own[:-1], place)
             .withColumn(other[:-1], F.explode(F.expr(f"sequence(0, {other} - 1)")))
             .drop("salt", "blocks", "chunks")
         )
@@ -298,15 +308,13 @@ def _search(rows: DataFrame, anchors: DataFrame, size: int, same: bool, block: i
 
 
 def _fill(
-    rows: DataFrame, anchors: DataFrame, windows: DataFrame, size: int, rounds: int, same: bool, path: str, **limits
+    rows: DataFrame, anchors: DataFrame, windows: DataFrame, size: int, rounds: int, same: bool, scratch: Scratch, **limits
 ) -> DataFrame:
     """The best rows of every window (anchor_id, name, high, low_0 .. of each round), by lowering thresholds.
 
     A window that is full at a threshold is done: all rows above it have been seen. At the last
     threshold every window is.
     """
-    spark = rows.sparkSession
-    schema = _FOUND + ", rank int"
     parts = []
     for n in range(rounds):
         held = windows.groupBy("anchor_id").agg(
@@ -319,8 +327,7 @@ def _fill(
         if n < rounds - 1:
             number = F.count("*").over(Window.partitionBy("anchor_id", "name"))
             found = found.withColumn("n", number).filter(F.col("n") == size).drop("n")
-        found.write.parquet(f"{path}/{n}")
-        parts.append(spark.read.schema(schema).parquet(f"{path}/{n}"))
+        parts.append(scratch.store(found, f"{'positives' if same else 'negatives'}-{n}"))
         full = parts[-1].filter("rank = 1").select("anchor_id", "name")
         windows = windows.join(full, ["anchor_id", "name"], "left_anti")
     together = parts[0]
@@ -346,12 +353,11 @@ def hard_negatives(
     to ``high`` percent of the positive's.
     """
     spark = rows.sparkSession
-    path = new_folder(spark, "hard-negatives")
+    scratch = Scratch(spark, "hard-negatives")
     schema = "vec_id long, label long, vector array<int>, norm double"
-    rows.select("vec_id", "label", "vector", "norm").write.parquet(f"{path}/rows")
-    rows = spark.read.schema(schema).parquet(f"{path}/rows")
+    rows = scratch.store(rows.select("vec_id", "label", "vector", "norm"), "rows")
     # a read of its own, as the two sides of a cogroup must not share columns
-    anchors = spark.read.schema(schema).parquet(f"{path}/rows").filter(is_anchor)
+    anchors = spark.read.schema(schema).parquet(f"{scratch.path}/rows").filter(is_anchor)
     limits = {"block": block, "chunk": chunk}
 
     longest = rows.groupBy("label").agg(F.max("norm").alias("longest"))
@@ -370,7 +376,7 @@ def hard_negatives(
             ),
         )
     )
-    best = _fill(rows, anchors, wanted, positives, len(POSITIVE_SHARES), True, f"{path}/positives", **limits)
+    best = _fill(rows, anchors, wanted, positives, len(POSITIVE_SHARES), True, scratch, **limits)
 
     score = F.col("score").cast("decimal(24,0)")
     least, most = (F.ceil(score * low / 100).cast("long"), F.floor(score * high / 100).cast("long"))
@@ -388,7 +394,7 @@ def hard_negatives(
             ),
         )
     )
-    found = _fill(rows, anchors, windows, negatives, len(NEGATIVE_SHARES), False, f"{path}/negatives", **limits)
+    found = _fill(rows, anchors, windows, negatives, len(NEGATIVE_SHARES), False, scratch, **limits)
     scores = best.select("anchor_id", F.col("other_id").alias("name"), F.col("score").alias("positive_score"))
     return found.join(scores, ["anchor_id", "name"]).select(
         "anchor_id",

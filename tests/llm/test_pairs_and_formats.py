@@ -43,6 +43,18 @@ def _brute_negatives(data, every, positives=5, negatives=3):
     return sorted(out, key=repr)
 
 
+def test_negatives_need_no_join_to_deal_their_one_group(spark):
+    """Every table that is sent to all tasks is built in the driver first; the last rounds had more."""
+    data = [(i, [float(i % 7), float(i % 5)], i % 3, "n", "g", "s") for i in range(40)]
+    rows = hard_negatives.scaled(spark.createDataFrame(data, VECTORS))
+    window = [F.array(F.lit(value).cast("long")).alias(name) for name, value in (("name", 0), ("low", 0), ("high", 1 << 40))]
+    anchors = rows.filter("vec_id % 10 = 0").select("vec_id", "label", "vector", *window)
+    found = hard_negatives._search(rows, anchors, 3, False, 16, 2)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.anchor_id for r in found.collect()} == {0, 10, 20, 30}
+    assert hard_negatives._search(rows, anchors.filter("false"), 3, False, 16, 2).collect() == []
+
+
 @pytest.mark.parametrize("block, chunk, size", [(7, 3, 1.0), (4096, 4096, 1.0), (50, 5, 1e4), (50, 5, 3e6)])
 def test_negatives_equal_brute_force(spark, block, chunk, size):
     draw = np.random.default_rng(21)
