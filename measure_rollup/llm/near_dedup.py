@@ -17,10 +17,12 @@ Short texts: each text of at most ``SHORT`` words also has a bucket for each tex
 it without as many words as its length allows as distance, or fewer (at most 106 of them). Similar
 texts have such a rest in common, so no similar pair of short texts is lost.
 
-Verification: within a bucket every member is first aligned with the bucket's smallest
-member. That leaves pairs of members that are not (yet) connected: they are aligned too, each
-member with those likely nearest to it first and then, of what is still apart, all pairs, block
-by block of a bucket. No pair is aligned whose lengths or word counts
+Verification: every member is first aligned with ``LIKELY`` others, the smallest member of most of
+its buckets, which connects most of a group by as many links for each member, whatever its size. That
+leaves pairs of members that are not (yet) connected: they are aligned too, each member with the
+smallest ones of its other buckets and those likely nearest to it first and then, of what is still
+apart, all pairs, block by block of a bucket. Links found later count as links between components,
+so no component is searched anew. No pair is aligned whose lengths or word counts
 (folded into ``FOLDS`` bins) alone prove it too far apart. What has no possible pair
 with a member of another component is compared once only: components only grow together. Links are
 verified, so shared passages alone do not link. Groups are the connected components of the links.
@@ -47,7 +49,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from measure_rollup.llm.components import components
@@ -59,6 +61,7 @@ SAMPLED = 3
 SKETCHES = 96
 FOLDS = 1024
 COARSE = 128  # bins of a first look at pairs; FOLDS is a multiple of it
+LIKELY = 1  # smallest members of buckets that each member is aligned with first
 NEAREST = 8  # members that each member is aligned with before all are
 BLOCK = 4_096
 SLICE = 1 << 20  # pairs of a block that are looked at at once
@@ -365,8 +368,10 @@ def _unconnected(nearest: int):
 
     All of them, or of each member only the ``nearest`` ones, as the bound has it, and then also every
     member of a bucket that is in a possible pair there: with the bucket's name, and no ``b``.
+    ``names`` are all buckets of a member here. A pair is looked at in the first that both have, and
+    nowhere else, so that members with many buckets in common are one pair and not one for each.
     """
-    columns = ["name", "pair", "second", "same", "doc_id", "component", "size", "bins"]
+    columns = ["name", "pair", "second", "same", "doc_id", "component", "size", "names", "bins"]
 
     def arrays(batch):
         plain = [batch[c].to_numpy(zero_copy_only=False) for c in columns[:-1]]
@@ -377,12 +382,24 @@ def _unconnected(nearest: int):
         names = none if name is None else pa.array(np.full(len(a), name))
         return pa.RecordBatch.from_arrays([names, pa.array(a), none if b is None else pa.array(b)], names=["name", "a", "b"])
 
+    def earlier(of, name) -> np.ndarray:
+        """A bit for each bucket before this one that several members here have."""
+        sizes = [len(some) for some in of]
+        flat = np.concatenate(of)
+        row = np.repeat(np.arange(len(of)), sizes)[flat < name]
+        _, bit, often = np.unique(flat[flat < name], return_inverse=True, return_counts=True)
+        row, bit = row[often[bit] > 1], (np.cumsum(often > 1) - 1)[bit[often[bit] > 1]]
+        bits = np.zeros((len(of), int((often > 1).sum()) // 64 + 1), np.uint64)
+        np.bitwise_or.at(bits, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+        return bits
+
     def compare(rows):
-        names, _, second, same, ids, component, size, bins = rows
+        names, _, second, same, ids, component, size, of, bins = rows
+        before = earlier(of, names[0])
         one, other = (~second, second) if not same[0] else (slice(None), slice(None))
         coarse = bins.reshape(len(ids), COARSE, -1).sum(axis=2, dtype=np.int16)
-        columns = (ids, component, size, bins, coarse)
-        (ids_a, component_a, size_a, bins_a, coarse_a), (ids_b, component_b, size_b, bins_b, coarse_b) = (
+        columns = (ids, component, size, before, bins, coarse)
+        (ids_a, component_a, size_a, before_a, bins_a, coarse_a), (ids_b, component_b, size_b, before_b, bins_b, coarse_b) = (
             [column[side] for column in columns] for side in (one, other)
         )
         step = max(1, SLICE // max(1, len(ids_b)))
@@ -394,6 +411,8 @@ def _unconnected(nearest: int):
             possible = []
             for at in range(0, len(i), 1 << 14):
                 x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                here = ~(before_a[x] & before_b[y]).any(axis=1)
+                x, y = x[here], y[here]
                 good = may_match(size_a[x], coarse_a[x], size_b[y], coarse_b[y])
                 x, y = x[good], y[good]
                 least = least_distance(size_a[x], bins_a[x], size_b[y], bins_b[y])
@@ -477,14 +496,41 @@ def _rest(rows: DataFrame, nodes: DataFrame, member: DataFrame, nearest: int = 0
             "doc_id",
         )
     )
+    buckets_of = rows.join(mixed.select("name"), "name").groupBy("doc_id").agg(F.collect_set("name").alias("names"))
     # a number is given, so that partitions are not merged by size: few rows are much work here
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.join(known, "doc_id").repartition(tasks, "name", "pair").sortWithinPartitions("name", "pair")
-    return dealt.select("name", "pair", "second", "same", "doc_id", "component", "size", "bins").mapInArrow(
+    dealt = placed.join(known.join(buckets_of, "doc_id"), "doc_id").repartition(tasks, "name", "pair").sortWithinPartitions("name", "pair")
+    return dealt.select("name", "pair", "second", "same", "doc_id", "component", "size", "names", "bins").mapInArrow(
         _unconnected(nearest), "name long, a long, b long"
     ).distinct()
 
 
+def _lifted(pairs: DataFrame, member: DataFrame) -> DataFrame:
+    """``pairs`` with the components of both as x and y; who has no links is one of its own."""
+    one, other = (member.select(F.col("node").alias(x), F.col("component").alias(y)) for x, y in ("ax", "by"))
+    return (
+        pairs.join(one, "a", "left")
+        .join(other, "b", "left")
+        .select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+    )
+
+
+def _apart(pairs: DataFrame, member: DataFrame) -> DataFrame:
+    """The ``pairs`` that are not connected."""
+    return _lifted(pairs, member).filter("x <> y").select("a", "b")
+
+
+def _merged(member: DataFrame, more: DataFrame) -> DataFrame:
+    """``member`` with ``more`` links, of which those between its components are all that counts."""
+    merged = components(_lifted(more, member).select("x", "y"))
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    return (
+        member.join(moved, "component", "left")
+        .select("node", F.coalesce("now", "component").alias("component"))
+        .unionByName(merged.join(member, "node", "left_anti"))
+    )
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), group_id, kept per row of ``docs``."""
     spark = docs.sparkSession
@@ -511,8 +557,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     smallest = rows.groupBy("name").agg(F.min("doc_id").alias("a"), F.count("*").alias("n"))
     shared = stored(rows.join(smallest.filter("n > 1"), "name"), "shared")
     scratch.remove("named")
-    first = shared.filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    tried = stored(_possible(first, nodes), "first")
+    first = stored(
+        shared.filter("doc_id <> a").groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("times")), "first"
+    )
+    # a member that is the smallest in many buckets of another is likely of its group
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("times"), "a"))
+    first = first.select("a", "b", (place <= LIKELY).alias("likely"))
+    tried = stored(_possible(first.filter("likely").select("a", "b"), nodes), "likely")
 
     def aligned(pairs: DataFrame, name: str) -> DataFrame:
         # stored, so that Spark knows its size: few ids are broadcast, and no text is shuffled
@@ -520,22 +571,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
         with_text = texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         return stored(_verified(pairs, with_text), name).select("a", "b")
 
-    links = aligned(tried, "links")
-    member = stored(components(links), "members")
+    member = stored(components(aligned(tried, "links")), "members")
+    other = _apart(first.filter("not likely").select("a", "b"), member)
+    other = stored(_possible(other, nodes), "other")
     for nearest, name in ((NEAREST, "near"), (0, "rest")):
         # first what is likely to connect; then, of what is still apart, everything
         found = stored(_rest(shared, nodes, member, nearest), f"{name}-found")
-        pairs = stored(found.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), name)
+        pairs = found.filter("b is not null").select("a", "b")
+        if nearest:
+            pairs = pairs.unionByName(other)
+        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), name)
         if nearest:
-            scratch.remove("shared")
+            scratch.remove("shared", "first")
         # the others have nothing left to be compared with; two members may be a pair not aligned yet
         shared = found.filter("b is null").select(F.col("a").alias("doc_id"), "name", F.lit(3).cast("long").alias("n"))
         more = aligned(pairs, f"{name}-links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            member = stored(components(links), f"{name}-members")
+            member = stored(_merged(member, more), f"{name}-members")
         tried = tried.unionByName(pairs)
-    scratch.remove("first", "nodes")
+    scratch.remove("likely", "other", "nodes")
     groups = classes.join(member, classes.class_id == member.node, "left").select(
         "digest", "class_id", F.coalesce("component", "class_id").alias("group_id")
     )

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, LongType, StringType, StructField, StructType
@@ -566,6 +567,45 @@ def test_unconnected_members_are_compared(spark, monkeypatch):
     assert pairs == expected
 
 
+def test_a_pair_with_many_buckets_in_common_is_looked_at_once():
+    """Members of the same five buckets are one pair each, in the first bucket that both have."""
+    members, names = 12, [-4, 1, 2, 7, 9]
+    of = {i: names if i % 3 else names[1:] for i in range(members)}
+    held = [(name, i) for name in names for i in range(members) if name in of[i]]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "name": [name for name, _ in held],
+            "pair": [0] * len(held),
+            "second": [False] * len(held),
+            "same": [True] * len(held),
+            "doc_id": [i for _, i in held],
+            "component": [i for _, i in held],
+            "size": [20] * len(held),
+            "names": [of[i][::-1] for _, i in held],
+            "bins": [bytes(near_dedup.FOLDS)] * len(held),
+        }
+    )
+    found = [(a, b) for x in near_dedup._unconnected(0)([batch]) for a, b in zip(x["a"].to_pylist(), x["b"].to_pylist())]
+    assert sorted(found) == [(a, b) for a in range(members) for b in range(a + 1, members)]
+
+
+def test_a_large_group_is_aligned_by_few_pairs(spark, monkeypatch):
+    """A group of near copies takes about one alignment for each, however many buckets they share."""
+    draw = random.Random(15)
+    base = [f"w{i}" for i in range(60)]
+    data = [(i, " ".join(w if draw.random() > 0.04 else f"e{draw.random()}" for w in base)) for i in range(40)]
+    verified, aligned = near_dedup._verified, []
+
+    def counted(pairs, texts):
+        aligned.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    found = {r.doc_id: r.group_id for r in near_dedup.near_groups(documents(spark, data)).collect()}
+    assert found == _near(data)
+    assert sum(aligned) <= 2 * len(data)
+
+
 def test_bounds_tell_apart_texts_that_share_one_repeated_run():
     """What repeats fills few bins; the words that differ must not fall together in the others."""
     hasher = near_dedup.Hasher()
