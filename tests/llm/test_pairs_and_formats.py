@@ -228,6 +228,22 @@ def test_alignment_equals_brute_force(spark, both, monkeypatch):
         assert (found[doc_id].n_a, found[doc_id].n_b, found[doc_id].n_groups) == (len(a), len(b), len(shared))
 
 
+def test_a_chunk_holds_each_pair_of_ids_once(both):
+    """Not its windows, of which there are more with every text; with all links of the texts."""
+    texts = ["the house of the Straße", "the the house", "", "a▁b", "unheard-of words 99 中文 the"]
+    chunk = token_alignment._Chunk(3, both)
+    for some in (texts[:2], texts[2:]):
+        chunk.add(list(range(len(some))), [both.segments(t) if t else [] for t in some])
+    expected = Counter()
+    for text in texts:
+        a, b = (_tokens(both, text) if text else None) or ([], [])
+        expected.update(x << 32 | y for x, s, e in a for y, u, v in b if s < v and u < e)
+    found = chunk.batch().to_pydict()
+    assert dict(zip(found["links"][0], found["numbers"][0])) == expected
+    assert len(found["links"][0]) == len(expected) and not any(found["links"][1:])
+    assert found["doc_id"] == [0, 1, 0, 1, 2] and sum(found["n_links"]) == sum(expected.values())
+
+
 def test_no_texts_to_align(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert rows(token_alignment.align(empty, BYTES, PIECES)) == []
