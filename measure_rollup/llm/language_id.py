@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from measure_rollup.llm.batches import few_rows
 from measure_rollup.llm.samples import held_out, sample
 
 SIZE = 400
@@ -188,7 +189,7 @@ def in_a_known_language(docs: DataFrame) -> DataFrame:
     known = learn(docs.filter(~held_out(F.col("doc_id"), 5, 0)))
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             mask = []
             for text in batch["text"].cast(pa.binary()):
                 ordered = profile((text.as_py() or b"").decode("utf-8", "replace"), known.size)

@@ -52,6 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from measure_rollup.llm.batches import few_rows
 from measure_rollup.llm.components import components
 from measure_rollup.llm.scratch import Scratch
 
@@ -186,7 +187,7 @@ def folded(hashes: np.ndarray) -> bytes:
 
 def _describe(batches):
     hasher = Hasher()
-    for batch in batches:
+    for batch in few_rows(batches):
         digests, sizes, names, bins = [], [], [], []
         for text in batch["text"]:
             words = words_of(text.as_py())
@@ -237,7 +238,7 @@ def _bins(column) -> np.ndarray:
 
 
 def _only_possible(batches):
-    for batch in batches:
+    for batch in few_rows(batches):
         keep = may_match(
             batch["size_a"].to_numpy(), _bins(batch["bins_a"]), batch["size_b"].to_numpy(), _bins(batch["bins_b"])
         )
@@ -327,7 +328,7 @@ def _banded(places: dict, length: int, b: list, band: int) -> int:
 
 def _align(batches):
     kept: tuple = (None, None)
-    for batch in batches:
+    for batch in few_rows(batches):
         a, b, distances = [], [], []
         rows = zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["text_a"], batch["text_b"])
         for one, other, text_a, text_b in rows:
@@ -534,7 +535,7 @@ def _merged(member: DataFrame, more: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), group_id, kept per row of ``docs``."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = Scratch(spark, "near", few_rows=True)
     stored = scratch.store
 
     texts = docs.select(

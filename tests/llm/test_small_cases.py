@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from measure_rollup.llm import (
+    batches,
     components,
     embedding_dedup,
     exact_dedup,
@@ -28,6 +29,7 @@ from measure_rollup.llm import (
     toxicity,
     warc,
 )
+from measure_rollup.llm.scratch import Scratch
 from measure_rollup.sources import new_folder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -964,3 +966,24 @@ def test_damaged_texts_are_read(spark):
     cache = new_folder(spark, "damaged")
     counted = {r.doc_id: r.n_bytes for r in token_counts.count_tokens(df, PIECES, cache).collect()}
     assert len(counted) == 60 and counted[2] == 3  # the replacement character
+
+
+def test_python_workers_get_and_give_few_rows_at_once(spark, monkeypatch):
+    """Texts and bins of Spark's 10,000 rows are tens of megabytes, held several times by each task."""
+    monkeypatch.setattr(batches, "ROWS", 100)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(450)), "text": [f"some words of {i}" for i in range(450)]})
+    for described in (near_dedup._describe([batch]), batches.few_rows([batch])):
+        found = list(described)
+        assert [b.num_rows for b in found] == [100] * 4 + [50]
+        assert [i for b in found for i in b["doc_id"].to_pylist()] == list(range(450))
+
+    def sizes(some):
+        for b in some:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    counted = spark.range(0, 450, 1, 1).mapInArrow(sizes, "n long")
+    assert [r.n for r in Scratch(spark, "few", few_rows=True).store(counted, "n").collect()] == [100] * 4 + [50]
+    assert [r.n for r in Scratch(spark, "many").store(counted, "n").collect()] == [450]
+    assert spark.conf.get(setting) == before
