@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -207,6 +208,26 @@ def test_segments_give_the_tokens_of_the_whole_text(both):
             assert [y for _, b in windows for y in b] == [y for y, *_ in tokens[1]], text
 
 
+def test_plain_words_are_encoded_joined(both, monkeypatch):
+    """Many at once, with what encoding them one by one gives."""
+    draw, calls = random.Random(34), []
+    letters = "aeiounrstXYZ019.,'-_<|>#~ÀÖØöøſß"
+    words = sorted({" " + "".join(draw.choices(letters, k=draw.randint(1, 12))) for _ in range(2_000)} | {" <s>", " 's", " <|endoftext|>"})
+    expected = both._listed(words, False)
+    assert None not in expected and both._listed(words, True) == expected
+
+    def joined(text, **options):
+        calls.append(text)
+        return quick.encode_to_numpy(text, **options)
+
+    quick = both.quick
+    monkeypatch.setattr(both, "quick", SimpleNamespace(encode_to_numpy=joined))
+    both.forget()
+    both.learn(words)
+    assert [both.known[w] for w in words] == expected and len(calls) == 1
+    both.forget()
+
+
 def test_alignment_equals_brute_force(spark, both, monkeypatch):
     draw = random.Random(32)
     data = [(i, _text(draw)) for i in range(250)]
